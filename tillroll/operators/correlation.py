@@ -1,0 +1,33 @@
+"""Correlation of all pairs of numeric columns in one pass."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from itertools import combinations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.statistics import pearson_pair
+from .profile import rows_of
+
+
+def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Long form (col_x, col_y, corr) of the full square; each pair uses the rows where both are present."""
+    numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    pairs = list(combinations(range(len(columns)), 2))
+    measures = [pearson_pair(F.col(columns[i]), F.col(columns[j])).alias(f"r_{i}_{j}") for i, j in pairs]
+    # A column correlates with itself unless it is constant or has fewer than two values.
+    own = [
+        F.when(F.min(c) < F.max(c), F.lit(1.0)).alias(f"r_{i}_{i}") for i, c in enumerate(columns)
+    ]
+    one_row = numeric.agg(*measures, *own)
+    square = [(i, j) for i in range(len(columns)) for j in range(len(columns))]
+    return rows_of(
+        one_row,
+        ("col_x", "col_y", "corr"),
+        [
+            (F.lit(columns[i]), F.lit(columns[j]), F.col(f"r_{min(i, j)}_{max(i, j)}"))
+            for i, j in square
+        ],
+    )
