@@ -1,0 +1,30 @@
+"""Materialise a frame once when several passes read it."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
+
+def staging_folder(spark: SparkSession) -> str:
+    """A new folder under the shared one the cluster names; a local temporary one only where none is named."""
+    shared = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
+    if not shared:
+        shared = tempfile.gettempdir()
+    return f"{shared.rstrip('/')}/tillroll-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet and read it back.
+
+    For the result of joins and aggregates that a multi-pass operator scans repeatedly: each pass then reads a narrow
+    columnar file instead of repeating shuffle reads, sees exactly the same numbers, and lost executors cost a file
+    read rather than a recomputation.
+    """
+    path = staging_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -28,6 +28,7 @@ from ..operators.histogram import histogram
 from ..operators.joins import skew_join
 from ..operators.profile import describe
 from ..operators.quantiles import quantile_row, with_row
+from ..operators.staging import stage
 from . import warehouse
 
 Raw = Mapping[str, DataFrame]
@@ -68,13 +69,9 @@ def payment_totals(raw: Raw) -> DataFrame:
 
 
 def order_values(raw: Raw) -> DataFrame:
-    """Positive value of every order that has a payment.
-
-    The last bits of a sum of doubles depend on the order in which its parts arrive. Rounding the finished sum to six
-    digits lets several passes over the same orders (quantiles, histograms) see the same numbers.
-    """
-    joined = item_totals(raw).join(payment_totals(raw), "order_id")
-    return joined.select("order_id", F.round("order_value", 6).alias("order_value")).filter("order_value > 0")
+    """Positive value of every order that has a payment, one column, staged for the passes that follow."""
+    joined = item_totals(raw).join(payment_totals(raw).select("order_id"), "order_id")
+    return stage(joined.filter("order_value > 0").select("order_value"))
 
 
 def scored(raw: Raw) -> DataFrame:
@@ -302,7 +299,9 @@ def category_revenue(raw: Raw, top: int = TOP_CATEGORIES) -> DataFrame:
     so the join salts it.
     """
     pairs = raw["order_items"].groupBy("product_id", "order_id").agg(F.sum("price").alias("price"))
-    named = skew_join(pairs, _categories(raw), "product_id").withColumn("category", F.coalesce("category", F.lit(UNKNOWN_CATEGORY)))
+    named = skew_join(pairs, _categories(raw), "product_id", spread_by="order_id").withColumn(
+        "category", F.coalesce("category", F.lit(UNKNOWN_CATEGORY))
+    )
     weighted = F.col("price") * F.coalesce("copies", F.lit(1))
     per_order = named.groupBy("category", "order_id").agg(F.sum(weighted).alias("revenue"))
     return (
@@ -333,8 +332,9 @@ def order_features(raw: Raw) -> DataFrame:
     """One row per review of an order with items and payments; the delay is null unless known."""
     late = delivered(raw).select("order_id", F.col("delivery_delay_days").cast("double")).dropna()
     per_order = item_totals(raw).join(payment_totals(raw), "order_id").join(late, "order_id", "left")
-    reviews = scored(raw).withColumn("review_score", F.col("review_score").cast("double"))
-    return skew_join(reviews, per_order, "order_id", "inner").select("order_id", *FEATURES)
+    score = F.col("review_score").cast("double").alias("review_score")
+    reviews = raw["reviews"].select("review_id", "order_id", score).dropna(subset=["order_id", "review_score"])
+    return skew_join(reviews, per_order, "order_id", spread_by="review_id", how="inner").select("order_id", *FEATURES)
 
 
 def correlation_matrix(raw: Raw) -> DataFrame:

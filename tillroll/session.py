@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Recording the Python call site of every column expression makes building large plans several times slower.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
