@@ -80,7 +80,8 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def month_of(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM")
+    # By way of the date: formatting a zoneless timestamp itself would pass through the session time zone.
+    return F.date_format(F.to_date(ts), "yyyy-MM")
 
 
 def day_text(d: Column) -> Column:
@@ -88,7 +89,8 @@ def day_text(d: Column) -> Column:
 
 
 def second_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    """``yyyy-MM-dd HH:mm:ss``; a cast, unlike formatting, leaves the session time zone out."""
+    return F.substring(ts.cast("string"), 1, 19)
 
 
 def strength_label(r: Column) -> Column:

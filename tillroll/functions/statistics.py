@@ -59,24 +59,24 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
     return value
 
 
-def _log_gamma_step(a: float) -> float:
-    """log(Gamma(a + 1/2) / Gamma(a)); by its series for large ``a``, where two lgamma values would cancel."""
-    if a > 1000.0:
-        return 0.5 * math.log(a) - 1.0 / (8.0 * a) + 1.0 / (192.0 * a**3)
-    return math.lgamma(a + 0.5) - math.lgamma(a)
-
-
 def two_sided_t_tail(t: float | None, df: float | None) -> float | None:
     """P(|T| >= |t|) for Student's t with ``df`` degrees of freedom."""
     if t is None or df is None or df <= 0:
         return None
+    if df > 1e6:
+        # Normal tail and the first term of its expansion in 1/df; the next one is below 1e-11.
+        size = abs(t)
+        density = math.exp(-size * size / 2.0) / math.sqrt(2.0 * math.pi)
+        return math.erfc(size / math.sqrt(2.0)) + density * size * (size * size + 1.0) / (2.0 * df)
     a, b, square = df / 2.0, 0.5, t * t
     x, rest = df / (df + square), square / (df + square)
     if rest == 0.0:
         return 1.0
     if x == 0.0:
         return 0.0
-    front = math.exp(_log_gamma_step(a) - math.lgamma(b) - a * math.log1p(square / df) + b * math.log(rest))
+    front = math.exp(
+        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) - a * math.log1p(square / df) + b * math.log(rest)
+    )
     if x < (a + 1.0) / (a + b + 2.0):
         return front * _beta_fraction(a, b, x) / a
     return 1.0 - front * _beta_fraction(b, a, rest) / b

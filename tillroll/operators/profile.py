@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .quantiles import quantiles
+from .quantiles import quantile_row, with_row
 
 HIGH_NULL_PERCENT = 20.0
 
@@ -127,17 +127,10 @@ def describe(
     summary = df.agg(
         *[make(F.col(c)).alias(f"_{i}_{name}") for i, c in enumerate(columns) for name, make in parts.items()]
     )
-    summary = rows_of(
-        summary,
-        ("column_name", *parts),
-        [(F.lit(c), *[F.col(f"_{i}_{name}") for name in parts]) for i, c in enumerate(columns)],
-    )
-    wide = (
-        quantiles(df, columns, percentiles.values())
-        .groupBy("column_name")
-        .agg(*[F.max(F.when(F.col("p") == float(p), F.col("value"))).alias(n) for n, p in percentiles.items()])
-    )
-    # One row per described column on both sides.
-    return summary.join(F.broadcast(wide), "column_name", "left").select(
-        "column_name", "count", "mean", "std", "min", *percentiles, "max", *extra
+    ranked = quantile_row(df, {f"_{i}_{n}": (c, p) for i, c in enumerate(columns) for n, p in percentiles.items()})
+    names = ("count", "mean", "std", "min", *percentiles, "max", *extra)
+    return rows_of(
+        with_row(summary, ranked),
+        ("column_name", *names),
+        [(F.lit(c), *[F.col(f"_{i}_{name}") for name in names]) for i, c in enumerate(columns)],
     )

@@ -10,21 +10,25 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def staging_folder(spark: SparkSession) -> str:
-    """A new folder under the shared one the cluster names; a local temporary one only where none is named."""
-    shared = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if not shared:
-        shared = tempfile.gettempdir()
-    return f"{shared.rstrip('/')}/tillroll-{uuid.uuid4().hex}"
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder the cluster names for such data; a temporary one only in local mode; otherwise none."""
+    named = spark.conf.get(CHECKPOINT_DIR, None)
+    if named:
+        return named.rstrip("/")
+    return tempfile.gettempdir() if spark.sparkContext.master.startswith("local") else None
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet and read it back.
+    """Write ``df`` as Parquet into a new folder and read it back.
 
     For the result of joins and aggregates that a multi-pass operator scans repeatedly: each pass then reads a narrow
     columnar file instead of repeating shuffle reads, sees exactly the same numbers, and lost executors cost a file
-    read rather than a recomputation.
+    read rather than a recomputation. Without a shared folder the frame stays as it is.
     """
-    path = staging_folder(df.sparkSession)
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if folder is None:
+        return df
+    path = f"{folder}/tillroll-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -14,10 +14,10 @@ SETTINGS = {
 }
 
 
-def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A one-machine session for tests and timing; a cluster brings its own."""
+def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g", **settings: str) -> SparkSession:
+    """A one-machine session for tests and timing; a cluster brings its own. ``settings`` use __ for the dots."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("tillroll")
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in settings.items()}}.items():
         builder = builder.config(key, value)
     session = (
         builder.config("spark.sql.shuffle.partitions", str(partitions))
