@@ -12,7 +12,7 @@ from tillroll.operators import profile
 from tillroll.operators.correlation import correlation_matrix
 from tillroll.operators.dedup import keep_first
 from tillroll.operators.histogram import histogram
-from tillroll.operators.joins import hot_keys, skew_join
+from tillroll.operators.joins import hot_keys, repeat_copies, skew_join, split_copies
 from tillroll.operators.quantiles import quantile_row, quantiles
 
 P = (0.0, 0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0)
@@ -115,6 +115,20 @@ def test_salts_spread_a_hot_key_over_tasks(spark):
     assert sum(shares.values()) == 3000 and max(shares.values()) < 1500
 
 
+def test_cut_copies_give_the_plain_product(spark):
+    rows = spark.createDataFrame([(i, k) for i, k in enumerate(["hot", "hot", "a", "b", "gone", None])], "i int, k string")
+    counted = spark.createDataFrame([("hot", 1, 23), ("hot", 2, 3), ("a", 1, 1), ("b", 1, 10), ("other", 9, 40)], "k string, v int, n bigint")
+    left, right = split_copies(rows, counted, "k", "n", chunk=5)
+    assert {(r["k"], r["v"]): r["s"] for r in right.groupBy("k", "v").agg(F.sum("n").alias("s")).collect()} == {
+        (r["k"], r["v"]): r["n"] for r in counted.collect()
+    }
+    assert right.agg(F.max("n")).first()[0] <= 5
+    joined = skew_join(left, right, ["k", "_part"], "i", "inner", rows_per_salt=2).drop("_part")
+    got = Counter((r.k, r.i, r.v) for r in repeat_copies(joined, "n").collect())
+    plain = {(r.k, r.i, r.v): r.n for r in rows.join(counted, "k").collect()}
+    assert got == plain
+
+
 def test_describe(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, None), (3.0, None), (4.0, None), (100.0, None)], "x double, e double")
     rows = {r.column_name: r for r in profile.describe(df, ["x", "e"], {"p50": 0.5, "p99": 0.99}).collect()}

@@ -88,10 +88,15 @@ def duplicate_keys(df: DataFrame, table: str, key: str, top: int = 5) -> DataFra
     )
 
 
+def _frequencies(df: DataFrame, column: str) -> DataFrame:
+    return df.groupBy(F.col(column).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def distinct_values(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+    """Distinct non-null values per column, counted over the same frequencies that value_counts lists."""
     return stack(
         [
-            df.agg(F.count_distinct(F.col(c)).alias("distinct_values")).select(
+            _frequencies(df, c).agg(F.count("value").alias("distinct_values")).select(
                 F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), "distinct_values"
             )
             for c in columns
@@ -101,8 +106,7 @@ def distinct_values(df: DataFrame, table: str, columns: Sequence[str]) -> DataFr
 
 def value_counts(df: DataFrame, table: str, column: str, top: int | None = 10) -> DataFrame:
     """Frequencies, most frequent first (then by value, null last); null is a value of its own."""
-    counted = df.groupBy(F.col(column).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    counted = counted.orderBy(F.desc("n"), F.asc_nulls_last("value"))
+    counted = _frequencies(df, column).orderBy(F.desc("n"), F.asc_nulls_last("value"))
     return (counted if top is None else counted.limit(top)).select(
         F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "value", "n"
     )

@@ -25,7 +25,7 @@ from ..functions.columns import (
 from ..functions.statistics import centred, skew_g1, t_of_r, t_tail
 from ..operators.correlation import correlation_matrix as correlate
 from ..operators.histogram import histogram
-from ..operators.joins import skew_join
+from ..operators.joins import repeat_copies, skew_join, split_copies
 from ..operators.profile import describe
 from ..operators.quantiles import quantile_row, with_row
 from ..operators.staging import stage
@@ -200,12 +200,14 @@ def late_rate_by_state(raw: Raw, min_orders: int = MIN_STATE_ORDERS) -> DataFram
     """Late rate of the states with enough delivered orders, highest first."""
     per_customer = delivered(raw).groupBy("customer_id").agg(_rows().alias("n"), F.sum("is_late").alias("late"))
     state = F.upper(strip(F.col("customer_state"))).alias("customer_state")
-    customers = raw["customers"].select("customer_id", state)
+    customers = (
+        raw["customers"].select("customer_id", state).dropna().groupBy("customer_id", "customer_state").agg(_rows().alias("c"))
+    )
+    late, orders = F.sum(F.col("late") * F.col("c")), F.sum(F.col("n") * F.col("c"))
     return (
         per_customer.join(customers, "customer_id")
-        .filter(F.col("customer_state").isNotNull())
         .groupBy("customer_state")
-        .agg((F.sum("late") / F.sum("n")).alias("late_rate"), F.sum("n").alias("orders"))
+        .agg((late / orders).alias("late_rate"), orders.alias("orders"))
         .filter(F.col("orders") >= min_orders)
         .orderBy(F.desc("late_rate"), "customer_state")
     )
@@ -329,12 +331,25 @@ def category_avg_price(raw: Raw, top: int = TOP_CATEGORIES) -> DataFrame:
 
 
 def order_features(raw: Raw) -> DataFrame:
-    """One row per review of an order with items and payments; the delay is null unless known."""
-    late = delivered(raw).select("order_id", F.col("delivery_delay_days").cast("double")).dropna()
-    per_order = item_totals(raw).join(payment_totals(raw), "order_id").join(late, "order_id", "left")
+    """One row per review of an order with items and payments; the delay is null unless known.
+
+    An order row that occurs several times repeats its reviews. Its copies are only counted until after the joins. The
+    row number that spreads the reviews of a hot order is stable for a table read from files.
+    """
     score = F.col("review_score").cast("double").alias("review_score")
-    reviews = raw["reviews"].select("review_id", "order_id", score).dropna(subset=["order_id", "review_score"])
-    return skew_join(reviews, per_order, "order_id", spread_by="review_id", how="inner").select("order_id", *FEATURES)
+    reviews = raw["reviews"].select("order_id", score).dropna().withColumn("_row", F.monotonically_increasing_id())
+    late = (
+        delivered(raw)
+        .select("order_id", F.col("delivery_delay_days").cast("double"))
+        .dropna()
+        .groupBy("order_id", "delivery_delay_days")
+        .agg(_rows().alias("_copies"))
+    )
+    per_order = item_totals(raw).join(payment_totals(raw), "order_id").join(late, "order_id", "left")
+    per_order = per_order.withColumn("_copies", F.coalesce("_copies", F.lit(1)))
+    reviews, per_order = split_copies(reviews, per_order, "order_id", "_copies")
+    joined = skew_join(reviews, per_order, ["order_id", "_part"], spread_by="_row", how="inner")
+    return repeat_copies(joined, "_copies").select("order_id", *FEATURES)
 
 
 def correlation_matrix(raw: Raw) -> DataFrame:
