@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tillroll.operators.staging import stage
 from tillroll.plans import run as batch
 from tillroll.plans import views
 from tillroll.schemas import RAW, WAREHOUSE
@@ -146,3 +147,9 @@ def test_bucketed_catalog_tables_join_without_shuffle(spark, tmp_path):
         assert joined.count() == 100
     finally:
         spark.sql("drop database shop cascade")
+
+
+def test_staging_uses_the_shared_folder(spark):
+    staged = stage(spark.range(5))
+    assert spark.conf.get("spark.checkpoint.dir") in staged.inputFiles()[0]
+    assert sorted(r.id for r in staged.collect()) == [0, 1, 2, 3, 4]

@@ -116,7 +116,7 @@ def fact_orders(
         fact = fact.join(F.broadcast(keys), "purchase_date", "left")
     if "customer" in parts:
         customers = clean["customers"].select("customer_id", "customer_unique_id", "customer_state", "customer_city")
-        fact = skew_join(fact, customers, "customer_id", spread_by="order_id")
+        fact = skew_join(fact, customers, "customer_id", spread_by="order_id", counted_in=clean["orders"])
     return conform(fact, WAREHOUSE["fact_orders"])
 
 
