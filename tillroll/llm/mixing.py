@@ -109,8 +109,10 @@ def fit_source(rows: pd.DataFrame) -> pd.DataFrame:
         share = counts * (rest / total)
         extra = np.minimum(np.floor(share).astype(np.int64), counts) * (lengths > 0)
         rest -= int((extra * lengths).sum())
-        # One more document for the lengths that rounding cut most, as long as plenty is left for the exact fit.
-        for i in np.lexsort((-lengths, -(share - np.floor(share)))):
+        # One more document for the lengths that rounding cut most (ties in seeded order, so that no length is favoured),
+        # as long as plenty is left for the exact fit.
+        ties = np.random.default_rng(SEED).permutation(len(rows))
+        for i in np.lexsort((ties, -(share - np.floor(share)))):
             if rest <= DP_WORDS:
                 break
             if lengths[i] and extra[i] < counts[i] and lengths[i] <= rest:
