@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import exact_dedup, mixing, quality_rules
+import public_tokenizers
+
+from tillroll.llm import bpe, exact_dedup, mixing, ppm_language, quality_rules, warc_zip
 from tillroll.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.round_trip(spark, read_table(spark, sf_dir, "pages"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(read_table(spark, sf_dir, "documents"))
 
@@ -22,6 +28,13 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op4_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    predicted = ppm_language.predict(docs, ppm_language.train(docs), carry=["doc_id"])
+    held_out = F.coalesce(~ppm_language.learnable(F.col("whole.doc_id")), F.lit(False))
+    return predicted.select("whole.doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = quality_rules.ledger(read_table(spark, sf_dir, "documents"))
     judged = quality_rules.apply_policy(ledger)
@@ -39,10 +52,19 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    encoded = bpe.encode(docs, public_tokenizers.path(bpe.VOCABULARY), with_ids=False, carry=["doc_id"])
+    return encoded.select("whole.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_warc_zip": op1_warc_zip,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mixing": op3_mixing,
+    "op4_ppm_language": op4_ppm_language,
     "op5_quality_rules": op5_quality_rules,
+    "op8_bpe": op8_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
