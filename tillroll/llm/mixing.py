@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import WORD, staged, text_or_empty
 
-BUCKET_ROWS = 2048
+BUCKET_ROWS = 256
 DP_WORDS = 1 << 16
 SEED = 20
 

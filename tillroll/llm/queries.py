@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tillroll.llm import bpe, exact_dedup, mixing, ppm_language, quality_rules, warc_zip
+from tillroll.llm import bpe, exact_dedup, mixing, ppm_language, quality_rules, toxicity, warc_zip
 from tillroll.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,16 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(~toxicity.learnable(F.col("whole.doc_id")), F.lit(False))
+    scored = toxicity.score(docs, model, carry=["doc_id"])
+    return scored.select(
+        "whole.doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     encoded = bpe.encode(docs, public_tokenizers.path(bpe.VOCABULARY), with_ids=False, carry=["doc_id"])
@@ -64,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op3_mixing": op3_mixing,
     "op4_ppm_language": op4_ppm_language,
     "op5_quality_rules": op5_quality_rules,
+    "op6_toxicity": op6_toxicity,
     "op8_bpe": op8_bpe,
 }
 
