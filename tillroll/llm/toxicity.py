@@ -27,9 +27,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLOTS = 1 << 20
-SAMPLE_DOCS = 12_000
-EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.0, 1.0
+SAMPLE_DOCS = 20_000
+EPOCHS = 4
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 12.0, 0.1
+POSITIVE_WEIGHT = 3.0
 KNOWN_WORDS = 300_000
 SEED = 6
 WORDS = re.compile(r"[^\W\d_]+")
@@ -78,7 +79,7 @@ class Ftrl:
         """One example with binary features `at` (the bias is added here)."""
         at = np.append(at, self.slots)
         w = self.weights(at)
-        g = _sigmoid(w.sum()) - label
+        g = (_sigmoid(w.sum()) - label) * (POSITIVE_WEIGHT if label else 1.0)
         n = self.n[at]
         self.z[at] += g - (np.sqrt(n + g * g) - np.sqrt(n)) / self.alpha * w
         self.n[at] = n + g * g
