@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tillroll.llm import bpe, exact_dedup, mixing, ppm_language, quality_rules, toxicity, warc_zip
+from tillroll.llm import bpe, exact_dedup, mixing, ppm_language, quality_rules, substring_dedup, toxicity, warc_zip
 from tillroll.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     encoded = bpe.encode(docs, public_tokenizers.path(bpe.VOCABULARY), with_ids=False, carry=["doc_id"])
@@ -75,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op4_ppm_language": op4_ppm_language,
     "op5_quality_rules": op5_quality_rules,
     "op6_toxicity": op6_toxicity,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_bpe": op8_bpe,
 }
 
