@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tillroll.llm import bpe, exact_dedup, mixing, ppm_language, quality_rules, substring_dedup, toxicity, warc_zip
+from tillroll.llm import bpe, exact_dedup, jaccard_join, mixing, ppm_language, quality_rules, substring_dedup, toxicity, warc_zip
 from tillroll.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("whole.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc_zip": op1_warc_zip,
     "op2_exact_dedup": op2_exact_dedup,
@@ -81,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op6_toxicity": op6_toxicity,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_bpe": op8_bpe,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
