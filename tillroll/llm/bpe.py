@@ -201,7 +201,12 @@ def load(path: str) -> WordBpe:
 
 
 def encode(
-    docs: DataFrame, vocabulary: str, text_col: str = "text", with_ids: bool = True, carry: list[str] | None = None
+    docs: DataFrame,
+    vocabulary: str,
+    text_col: str = "text",
+    with_ids: bool = True,
+    with_text: bool = False,
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """(whole, n_tokens, ids_sha256, decoded_sha256[, ids, decoded]); `whole` is a struct of the columns `carry`
     (default: all), so no names can clash.
@@ -221,7 +226,9 @@ def encode(
         T.StructField("decoded_sha256", T.StringType()),
     ]
     if with_ids:
-        fields += [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
+        fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
+    if with_text:
+        fields.append(T.StructField("decoded", T.StringType()))
     schema = T.StructType([packed.schema["whole"], *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,6 +249,7 @@ def encode(
                     text_digests.append(hashlib.sha256(text.encode()).hexdigest())
                     if with_ids:
                         ids.append(np.frombuffer(raw, dtype="<u4").astype(np.int32))
+                    if with_text:
                         decoded.append(text)
                 columns = [
                     batch.column(0).slice(low, high - low),
@@ -250,7 +258,9 @@ def encode(
                     pa.array(text_digests, pa.string()),
                 ]
                 if with_ids:
-                    columns += [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+                    columns.append(pa.array(ids, pa.list_(pa.int32())))
+                if with_text:
+                    columns.append(pa.array(decoded, pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
                 low = high
 

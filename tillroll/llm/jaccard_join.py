@@ -298,8 +298,8 @@ def _open_pairs(live: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFr
     return blocks.mapInArrow(_tree_pairs, "a long, b long").distinct()
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) of every row of `docs`."""
+def _linked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, body, n, root, component) of every row of `docs`."""
     keyed = _keyed(docs, id_col, text_col)
     frequent = frequent_shingles(keyed, docs.count())
     sets = staged(described(keyed, frequent), "jaccard-sets")
@@ -329,21 +329,44 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     more = _open_pairs(live, roots, classes)
     ordered = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     links = links.union(links_of(more.join(ordered, ["a", "b"], "left_anti"), classes, keyed))
-    return labelled(sets, classes, components(links)).select(
+    return labelled(sets, classes, components(links))
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id) of every row of `docs`."""
+    return _linked(docs, id_col, text_col).select(
         F.when(F.col("doc") != LAST_ID, F.col("doc")).alias(id_col),
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("component") != LAST_ID, F.col("component")).alias("component_id"),
     )
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` without those linked to a kept one: of each component the smallest id stays.
+
+    Rows without words all stay; rows that repeat both id and text become one.
+    """
+    linked = _linked(docs, id_col, text_col)
+    first = linked.filter("n > 0 AND doc = component").groupBy("root").agg(F.min(F.struct("doc", "body")).alias("kept"))
+    kept = first.select("kept.doc", "kept.body").union(linked.filter("n = 0").select("doc", "body"))
+    text = F.coalesce(F.col(f"whole.`{text_col}`"), F.lit(""))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")).select(
+        "whole",
+        F.coalesce(F.col(f"whole.`{id_col}`").cast("long"), F.lit(LAST_ID)).alias("doc"),
+        F.xxhash64(text).alias("body"),
+    )
+    rows = packed.join(kept, ["doc", "body"], "left_semi").dropDuplicates(["doc", "body"])
+    return rows.select("whole.*")
+
+
 def labelled(sets: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
     """`sets` with the smallest document of each one's component."""
     rooted = classes.select("sid", "doc").join(roots.withColumnRenamed("node", "sid"), "sid", "left")
     rooted = rooted.select("sid", "doc", F.coalesce("root", "sid").alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc").alias("component"))
-    by_set = rooted.join(least, "root").select("sid", "component")
+    by_set = rooted.join(least, "root").select("sid", "root", "component")
     whole = sets.select("doc", "body", "n", "sid")
     return (
         whole.join(by_set, "sid", "left")
-        .select("doc", "body", "n", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component"))
+        .select("doc", "body", "n", "root", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component"))
     )

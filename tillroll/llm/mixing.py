@@ -31,9 +31,10 @@ PLAN = "source string, size long, n long, source_size long, target double, passe
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(id, source, size): words of each row."""
+    """(id, body, source, size): words of each row, and a hash of its text."""
     return docs.select(
         F.col(id_col).alias("id"),
+        F.xxhash64(text_or_empty(F.col(text_col))).alias("body"),
         F.col(source_col).cast("string").alias("source"),
         F.regexp_count(text_or_empty(F.col(text_col)), F.lit(WORD)).cast("long").alias("size"),
     )
@@ -135,7 +136,7 @@ def mix(
     max_repeats: int = 3,
     seed: int = SEED,
 ) -> DataFrame:
-    """(id, source, size, source_size, target, repeats, taken): one row per row of `docs`."""
+    """(id, body, source, size, source_size, target, repeats, taken): one row per row of `docs`."""
     narrow = staged(sizes(docs, id_col, text_col, source_col), "mix-sizes")
     histogram = narrow.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     goals = targets(histogram, weights, max_repeats).withColumnRenamed("source", "name")
@@ -151,11 +152,12 @@ def mix(
     before = F.sum("in_bucket").over(Window.partitionBy("source", "size").orderBy("bucket")) - F.col("in_bucket")
     quotas = filled.select(*[F.col(c).alias(f"q_{c}") for c in group], (F.col("wanted") - before).alias("quota"))
     match = F.col("source").eqNullSafe(F.col("q_source")) & (F.col("size") == F.col("q_size")) & (F.col("bucket") == F.col("q_bucket"))
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy("h", "id"))
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy("h", "id", "body"))
     chosen = spread.withColumn("rank", rank).join(quotas, match)
     repeats = F.col("passes") + F.when(F.col("rank") <= F.col("quota"), 1).otherwise(0)
     return chosen.select(
         F.col("id").alias(id_col),
+        "body",
         F.col("source").alias(source_col),
         "size",
         "source_size",
@@ -163,3 +165,23 @@ def mix(
         repeats.cast("long").alias("repeats"),
         (repeats * F.col("size")).cast("long").alias("taken"),
     )
+
+
+def mixed_rows(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
+) -> DataFrame:
+    """The rows of `docs`, each as often as the mix takes it. Rows that agree in id, source and text count as one row,
+    which then stands for what the mix takes of all of them."""
+    counts = mix(docs, id_col, text_col, source_col, **options).groupBy(
+        F.xxhash64(F.col(id_col).cast("string"), F.col(source_col).isNull(), source_col).alias("named"), "body"
+    )
+    taken = counts.agg(F.sum("repeats").alias("repeats")).filter("repeats > 0")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    source = F.col(source_col).cast("string")
+    packed = docs.select(
+        whole.alias("whole"),
+        F.xxhash64(F.col(id_col).cast("string"), source.isNull(), source).alias("named"),
+        F.xxhash64(text_or_empty(F.col(text_col))).alias("body"),
+    )
+    rows = packed.join(taken, ["named", "body"]).dropDuplicates(["named", "body"])
+    return rows.select("whole", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats")))).select("whole.*")
