@@ -6,18 +6,48 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import exact_dedup
+import public_tokenizers
+
+from tillroll.llm import bpe, exact_dedup, jaccard_join, mixing, ppm_language
 from tillroll.llm.common import read_table, scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a predictable language go: null texts and texts without a letter."""
+    predicted = ppm_language.predict(docs, ppm_language.train(docs))
+    return predicted.filter(predicted["lang_pred"] != ppm_language.UNKNOWN).select("whole.*")
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays."""
+    """Of each group of equal texts the row with the smallest id stays."""
     return exact_dedup.keep_first_copies(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("exact_dedup", exact_copies)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of documents linked by shingle similarity the one with the smallest id stays."""
+    return jaccard_join.keep_one(docs)
+
+
+def weighted_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: left out, once, or repeated."""
+    return mixing.mixed_rows(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document of the mix, with the digests of the ids and of the decoded text."""
+    encoded = bpe.encode(docs, public_tokenizers.path(bpe.VOCABULARY), carry=["doc_id", "source", "lang"])
+    return encoded.select("whole.*", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", known_language),
+    ("exact_dedup", exact_copies),
+    ("ngram_jaccard_join", near_copies),
+    ("mixing", weighted_mix),
+    ("bpe", tokens),
+]
 
 #: Language prediction, the word budget and tokenizing have no SQL; the tests hold the pipeline against brute force.
 ORACLE_SQL: str | None = None
