@@ -7,7 +7,7 @@ sides: an occurrence carries a fingerprint of each window around its seed, and i
 stand at the same offsets around the seed in an earlier document. The extents that reach the threshold, put together,
 are the maximal repeats; they go back to the document as ranges of words.
 
-Scale: only fingerprints are joined, one row per seed occurrence (about 0.2 per word). Inside each block of a task,
+Scale: only fingerprints are joined, one row per seed occurrence (about 0.18 per word). Inside each block of a task,
 occurrences whose whole surroundings were already met in a smaller document are settled before the shuffle, so a passage
 that a third of all documents share arrives as a few rows per block. Equality of extents is judged on the 64-bit seed
 hash plus 32 bits per window, between occurrences of the same seed only.
@@ -30,12 +30,13 @@ from pyspark.sql import functions as F
 from tillroll.llm.word_grams import WordHashes, gram_hashes, hashed_words, mixed
 
 WINDOW = 13
-SEED_WORDS = 5
+SEED_WORDS = 4
 BLOCK_BYTES = 4 << 20
 LAST_ID = (1 << 63) - 1
 
-OCCURRENCES = "seed long, doc long, body long, start int, lead int, prints binary, settled boolean"
-RANGES = "doc long, body long, start int, covered int"
+# `place` packs, from the top: 32 bits of the text's hash, 27 of the first word, 4 of the lead, 1 for settled.
+OCCURRENCES = "seed long, doc long, place long, prints binary"
+RANGES = "doc long, body int, start int, covered int"
 
 
 def seeds(words: np.ndarray, ends: np.ndarray, window: int = WINDOW, seed_words: int = SEED_WORDS):
@@ -104,12 +105,13 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc, body = docs[low : low + len(texts)][text], bodies[low : low + len(texts)][text]
             settled = _settled(seed, lead, count, prints, doc)
             # Settled rows only pass through; a spread key keeps them off the partitions of frequent seeds.
-            seed = np.where(settled, mixed(seed.view(np.uint64) + body.view(np.uint64)).view(np.int64), seed)
+            seed = np.where(settled, mixed(seed.view(np.uint64) + doc.view(np.uint64)).view(np.int64), seed)
             offsets = np.concatenate([[0], np.cumsum(count) * 4]).astype(np.int32)
             binary = pa.BinaryArray.from_buffers(
                 pa.binary(), len(count), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(prints))]
             )
-            columns = [pa.array(seed), pa.array(doc), pa.array(body), pa.array(start), pa.array(lead), binary, pa.array(settled)]
+            place = body.astype(np.int64) << 32 | start.astype(np.int64) << 5 | lead.astype(np.int64) << 1 | settled
+            columns = [pa.array(seed), pa.array(doc), pa.array(place), binary]
             yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in OCCURRENCES.split(", ")])
             low += len(texts)
 
@@ -150,8 +152,8 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ahead = (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint32),)
     for batch in batches:
         table = pa.Table.from_batches([batch])
-        settled = table["settled"].to_numpy()
-        doc, body, start = (table[c].to_numpy() for c in ("doc", "body", "start"))
+        doc, place = table["doc"].to_numpy(), table["place"].to_numpy()
+        settled, body, start = (place & 1).astype(bool), place >> 32, place >> 5 & (1 << 27) - 1
         count = pa.compute.binary_length(table["prints"]).to_numpy().astype(np.int64) // 4
         if settled.any():
             yield _ranges(doc[settled], body[settled], start[settled], (1 << count[settled]) - 1)
@@ -160,7 +162,7 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         prints = np.frombuffer(b"".join(table["prints"].to_pylist()), dtype=np.uint32)[np.repeat(open_rows, count)]
         doc, body, start, count = doc[open_rows], body[open_rows], start[open_rows], count[open_rows]
-        seed, lead = table["seed"].to_numpy()[open_rows], table["lead"].to_numpy()[open_rows].astype(np.int64)
+        seed, lead = table["seed"].to_numpy()[open_rows], (place >> 1 & 15)[open_rows]
         if len(ahead[0]) and ahead[0][0] != seed[0]:
             ahead = tuple(x[:0] for x in ahead)
         n = len(ahead[0])
@@ -183,7 +185,7 @@ def _distinct(seed, doc, lead, count, prints):
 
 
 def _ranges(doc: np.ndarray, body: np.ndarray, start: np.ndarray, covered: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array(doc), pa.array(body), pa.array(start, pa.int32()), pa.array(covered.astype(np.int32))]
+    columns = [pa.array(doc), *(pa.array(x.astype(np.int32)) for x in (body, start, covered))]
     return pa.RecordBatch.from_arrays(columns, ["doc", "body", "start", "covered"])
 
 
@@ -235,7 +237,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(
         F.col(id_col).alias("id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"),
-        F.xxhash64(text).alias("body"),
+        F.shiftright(F.xxhash64(text), 32).cast("int").alias("body"),
         text.cast("binary").alias("bytes"),
     )
 
