@@ -1,9 +1,10 @@
 """Main-text extraction by gradient-boosted trees over DOM nodes, decoded along the hierarchy.
 
 Every element of a page is described by its tag, hashed attribute tokens, depth, sibling statistics and the densities of
-its subtree (text, links, tags, paragraphs). Boosted regression trees give the chance that an element holds main text.
-Decoding picks the likeliest consistent choice for the whole page: below a dropped element everything is dropped, and an
-element is open only if text of its own or an open child justifies it. The text of open elements is the article.
+its subtree (text, links, tags, paragraphs). Boosted regression trees give the chance that an element holds main text if
+its parent does. Decoding picks the likeliest consistent choice for the whole page: below a dropped element everything is
+dropped, and an element is open only if text of its own or an open child justifies it. The text of open elements is the
+article.
 
 Training: about `SAMPLE_PAGES` pages, drawn by a hash of the id. Pages that name their article element serve as they are,
 and their pieces are put together anew in many layouts (`rebuilt`: other containers, side columns, notices, adverts,
@@ -35,10 +36,10 @@ from pyspark.sql import types as T
 from tillroll.llm.dom import ATTRIBUTE, Page, parse
 
 SAMPLE_PAGES = 240
-LAYOUTS = 4
-TREES, DEPTH, RATE, LAMBDA = 40, 4, 0.3, 1.0
+LAYOUTS = 12
+TREES, DEPTH, RATE, LAMBDA = 100, 5, 0.2, 1.0
 BINS = 32
-NAME_SLOTS = 256
+NAME_SLOTS = 1 << 12
 SEED = 9
 
 GROUPS = (
@@ -47,7 +48,7 @@ GROUPS = (
 ).split()
 GROUP_OF = {tag: i + 1 for i, group in enumerate(GROUPS) for tag in group.split("|")}
 LINES = ("depth", "index", "siblings", "text", "own", "links", "tags", "paragraphs", "commas", "start", "share", "children", "same")
-N_FEATURES = 2 + len(LINES) + 2 * NAME_SLOTS
+N_FEATURES = 2 + len(LINES) + 3
 
 # Names that layouts give to their parts.
 MAIN = ("content", "main-content", "post-content", "entry-content", "article-body", "story", "post", "entry", "text", "body-text")
@@ -77,7 +78,22 @@ def _bin(value: float) -> int:
     return min(BINS - 1, int(2 * math.log2(1 + value)))
 
 
-def node_features(page: Page) -> np.ndarray:
+def name_slots(attributes: str) -> list[int]:
+    return [zlib.crc32(name.encode()) % NAME_SLOTS for name in names_of(attributes)] if attributes else []
+
+
+def name_odds(pages: list[tuple[Page, np.ndarray]]) -> np.ndarray:
+    """For each hashed attribute token the smoothed log-odds that an element named so is open below an open parent."""
+    open_, dropped = np.ones(NAME_SLOTS), np.ones(NAME_SLOTS)
+    for page, label in pages:
+        for i, node in enumerate(page.elements):
+            if node.parent >= 0 and label[node.parent]:
+                for slot in name_slots(node.attributes):
+                    (open_ if label[i] else dropped)[slot] += 1
+    return np.clip(np.log(open_ / dropped), -5, 5)
+
+
+def node_features(page: Page, odds: np.ndarray) -> np.ndarray:
     """One row of small integers per element."""
     nodes = page.elements
     n = len(nodes)
@@ -116,10 +132,12 @@ def node_features(page: Page) -> np.ndarray:
             _bin(len(node.children)),
             _bin(same),
         )
-        for name in names_of(node.attributes) if node.attributes else ():
-            row[2 + len(LINES) + zlib.crc32(name.encode()) % NAME_SLOTS] = 1
-        if above is not node:
-            row[2 + len(LINES) + NAME_SLOTS :] = out[node.parent, 2 + len(LINES) : 2 + len(LINES) + NAME_SLOTS]
+        slots = name_slots(node.attributes)
+        row[-3:] = (
+            min(len(slots), BINS - 1),
+            16 + round(3 * min(max(sum(odds[k] for k in slots), -5), 5)),
+            out[node.parent, -2] if i else 16,
+        )
     return out
 
 
@@ -131,6 +149,7 @@ class Trees:
     limits: np.ndarray
     values: np.ndarray
     start: float
+    odds: np.ndarray | None = None
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         total, rows = np.full(len(x), self.start), np.arange(len(x))
@@ -175,24 +194,27 @@ def fit(x: np.ndarray, y: np.ndarray) -> Trees:
 def decode(page: Page, scores: np.ndarray) -> np.ndarray:
     """Which elements are open in the likeliest choice without contradictions.
 
-    dropped[v]: log-likelihood of a dropped subtree; opened[v]: of an open v with the better choice for each child.
+    The score of an element tells its chance of being open below an open parent. What lies below a dropped element is
+    dropped with certainty, so a choice costs the open elements and the children dropped right below them. `worth[v]` is
+    the best log-likelihood of all below an open v; an element without text of its own that cannot open any child at less
+    than the child's own odds is not worth opening.
     """
     nodes = page.elements
     yes, no = -np.logaddexp(0, -scores), -np.logaddexp(0, scores)
-    dropped, opened, forced = no.copy(), yes.copy(), np.full(len(nodes), -np.inf)
-    for i in range(len(nodes) - 1, -1, -1):
-        # Without text of its own, an open element needs an open child: the one that costs least is opened then.
+    worth, loss = np.zeros(len(nodes)), np.full(len(nodes), np.inf)
+    for i in range(len(nodes) - 1, 0, -1):
         if not nodes[i].own:
-            opened[i] = opened[i] if any(opened[c] > dropped[c] for c in nodes[i].children) else opened[i] + forced[i]
+            worth[i] -= loss[i]  # what it costs to open the cheapest child; nothing if one opens by itself
+        gain = yes[i] + worth[i] - no[i]
         above = nodes[i].parent
-        if above >= 0:
-            dropped[above] += dropped[i]
-            opened[above] += max(opened[i], dropped[i])
-            forced[above] = max(forced[above], min(0.0, opened[i] - dropped[i]))
+        worth[above] += no[i] + max(gain, 0.0)
+        loss[above] = min(loss[above], max(-gain, 0.0))
+        worth[i] = gain
     choice = np.zeros(len(nodes), bool)
+    choice[0] = True
     for i, node in enumerate(nodes):
-        allowed = node.parent < 0 or choice[node.parent]
-        choice[i] = allowed and opened[i] > dropped[i]
+        if i:
+            choice[i] = choice[node.parent] and worth[i] > 0
     return choice
 
 
@@ -234,9 +256,8 @@ def _holders(page: Page, is_main) -> np.ndarray:
     return label
 
 
-def rebuilt(rng: random.Random, main: list[str], short: list[str], other: list[str]) -> tuple[str, set[str]]:
-    """A page around the blocks `main` in a layout drawn at random, and the ids of the elements that hold them."""
-    ids: set[str] = set()
+def rebuilt(rng: random.Random, main: list[str], short: list[str], other: list[str]) -> str:
+    """A page around the blocks `main` in a layout drawn at random; `data-m` marks the elements that hold them."""
 
     def text(pool: list[str]) -> str:
         return html.escape(rng.choice(pool) if pool else "")
@@ -270,8 +291,6 @@ def rebuilt(rng: random.Random, main: list[str], short: list[str], other: list[s
         return named(kind, rng.choice((f"<p>{text(short)}</p>", text(short), f"<p>{text(other)}</p><a href='#'>{text(short)[:10]}</a>")), rng.choice((None, None, "section")))
 
     def main_block(i: int, block: str) -> str:
-        own = f"m{i}"
-        ids.add(own)
         body = html.escape(block)
         if rng.random() < 0.15:
             words = body.split(" ")
@@ -279,10 +298,10 @@ def rebuilt(rng: random.Random, main: list[str], short: list[str], other: list[s
             words[k] = rng.choice((f"<b>{words[k]}</b>", f'<a href="/y">{words[k]}</a>', f"<em>{words[k]}</em>"))
             body = " ".join(words)
         if i == 0 and rng.random() < 0.7:
-            return f'<h1 data-m="{own}">{body[:80]}</h1>'
+            return f"<h1 data-m>{body[:80]}</h1>"
         tag = rng.choices(("p", "h2", "li", "blockquote", "td", "div"), (20, 2, 2, 1, 1, 2))[0]
         wrap = {"li": ("<ul>", "</ul>"), "td": ("<table><tr>", "</tr></table>")}.get(tag, ("", ""))
-        return f'{wrap[0]}<{tag} data-m="{own}">{body}</{tag}>{wrap[1]}'
+        return f'{wrap[0]}<{tag} data-m>{body}</{tag}>{wrap[1]}'
 
     inside = [main_block(i, b) for i, b in enumerate(main)]
     for kind in rng.choices(("ad", "aside", "share", "notice", "form", "comments", ""), (3, 2, 2, 2, 1, 2, 6), k=rng.randint(0, 3)):
@@ -296,40 +315,50 @@ def rebuilt(rng: random.Random, main: list[str], short: list[str], other: list[s
         before = part(rng.choice(("ad", "notice", "share", "nav"))) if rng.random() < 0.3 else ""
         after = part(rng.choice(("ad", "comments", "aside", "form"))) if rng.random() < 0.4 else ""
         content = f'<div{rng.choice(("", " class=wrapper", " id=page", " class=container", " class=row"))}>{before}{content}{after}</div>'
-    above = [part(k) for k in ("header", "nav", "notice", "ad", "form") if rng.random() < 0.5]
-    below = [part(k) for k in ("comments", "aside", "ad", "form", "notice", "footer") if rng.random() < 0.45]
-    return f"<html><head><title>t</title></head><body>{''.join(above)}{content}{''.join(below)}</body></html>", ids
+    crowd = rng.choice((0.1, 0.5, 0.8))
+    above = [part(k) for k in ("header", "nav", "notice", "ad", "form") if rng.random() < crowd]
+    below = [part(k) for k in ("comments", "aside", "ad", "form", "notice", "footer") if rng.random() < crowd]
+    return f"<html><head><title>t</title></head><body>{''.join(above)}{content}{''.join(below)}</body></html>"
 
 
-def examples(sources: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of all elements of the sample pages and of the layouts built from their pieces."""
-    rng, x, y, mains, short, other = random.Random(SEED), [], [], [], [], []
+def labelled_pages(sources: list[str]) -> list[tuple[Page, np.ndarray]]:
+    """The sample pages that name their article, and the layouts built of their pieces, with the elements to be open."""
+    rng, found, mains, short, other = random.Random(SEED), [], [], [], []
     for source in sources:
         page = parse(source)
         label = main_owners(page)
         if label is None:
             continue
-        x.append(node_features(page))
-        y.append(label)
-        inside = [t for t, owners in page.blocks if label[owners[0][0]] and owners]
+        found.append((page, label))
+        inside = [t for t, owners in page.blocks if owners and label[owners[0][0]]]
         mains.append(inside)
         other += [t[:400] for t in inside[:6]]
         short += [t[:120] for t, owners in page.blocks if owners and not label[owners[0][0]]][:10]
     for blocks in mains:
         for _ in range(LAYOUTS if blocks else 0):
-            main = [b[:600] for b in rng.sample(blocks, min(len(blocks), rng.randint(1, 12)))]
-            source, ids = rebuilt(rng, main, short, other)
-            page = parse(source)
-            marks = [re.search(r'data-m="(\w+)"', node.attributes) for node in page.elements]
-            mine = [bool(m) for m in marks]
-            for i, node in enumerate(page.elements):
-                mine[i] = mine[i] or (node.parent >= 0 and mine[node.parent])
-                node.attributes = re.sub(r' ?data-m="\w+"', "", node.attributes)
-            x.append(node_features(page))
-            y.append(_holders(page, lambda owner, mine=mine: mine[owner]))
-    if not x:
-        return np.zeros((0, N_FEATURES), np.uint8), np.zeros(0)
-    return np.concatenate(x), np.concatenate(y).astype(np.float64)
+            longest = rng.choice((8, 25, 80, 300, 1000, 4000))
+            main = [b[:longest] for b in rng.sample(blocks, min(len(blocks), rng.randint(1, 12)))]
+            page = parse(rebuilt(rng, main, short, other))
+            mine = []
+            for node in page.elements:
+                mine.append("data-m" in node.attributes or (node.parent >= 0 and mine[node.parent]))
+                node.attributes = node.attributes.replace(" data-m", "")
+            found.append((page, _holders(page, lambda owner, mine=mine: mine[owner])))
+    return found
+
+
+def learn(sources: list[str]) -> Trees:
+    """Trees from whole pages; they are asked about the children of open elements, so these are the examples."""
+    pages = labelled_pages(sources)
+    odds = name_odds(pages)
+    x, y = [np.zeros((0, N_FEATURES), np.uint8)], [np.zeros(0)]
+    for page, label in pages:
+        asked = np.array([node.parent >= 0 and label[node.parent] for node in page.elements])
+        x.append(node_features(page, odds)[asked])
+        y.append(label[asked].astype(np.float64))
+    trees = fit(np.concatenate(x), np.concatenate(y))
+    trees.odds = odds
+    return trees
 
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> Trees:
@@ -339,19 +368,19 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sam
     draw = F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(1 << 30)) / float(1 << 30)
     sample = rows.filter(draw < min(1.0, sample_pages / max(n, 1)))
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sources = [s for batch in batches for s in batch.column(1).to_pylist()]
-        model = pickle.dumps(fit(*examples(sources)))
+        model = pickle.dumps(learn(sources))
         yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 
     ordered = sample.repartition(1).sortWithinPartitions("id", F.xxhash64("source"))
-    found = ordered.mapInArrow(learn, "model binary").first()
-    return pickle.loads(bytes(found["model"])) if found else fit(np.zeros((0, N_FEATURES), np.uint8), np.zeros(0))
+    found = ordered.mapInArrow(run, "model binary").first()
+    return pickle.loads(bytes(found["model"])) if found else learn([])
 
 
 def extract_texts(sources: list[str], trees: Trees) -> list[str]:
     pages = [parse(s) for s in sources]
-    scores = trees.scores(np.concatenate([node_features(p) for p in pages])) if pages else np.zeros(0)
+    scores = trees.scores(np.concatenate([node_features(p, trees.odds) for p in pages])) if pages else np.zeros(0)
     out, at = [], 0
     for page in pages:
         size = len(page.elements)

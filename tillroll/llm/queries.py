@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tillroll.llm import bpe, exact_dedup, jaccard_join, mixing, ppm_language, quality_rules, substring_dedup, toxicity, warc_zip
+from tillroll.llm import bpe, exact_dedup, html_extract, jaccard_join, mixing, ppm_language, quality_rules, substring_dedup, toxicity, warc_zip
 from tillroll.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,12 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("whole.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    extracted = html_extract.extract(pages, html_extract.train(pages), carry=["page_id", "url"])
+    return extracted.select("whole.page_id", "whole.url", "text", "n_chars")
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(read_table(spark, sf_dir, "documents"))
 
@@ -85,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op6_toxicity": op6_toxicity,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_bpe": op8_bpe,
+    "op9_html_extract": op9_html_extract,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
