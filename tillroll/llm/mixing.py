@@ -1,9 +1,9 @@
 """Mixing sources to target weights by fitting a word budget as a subset sum.
 
 Each source gets a share of all words by weight; a target stops at `max_repeats` times the source and the excess goes to
-the others by weight. A source first takes whole passes over its documents, then an even fraction of the documents of
-every exact length, and what remains of the budget is fitted by bounded-knapsack dynamic programming over (length,
-documents left). Only counts by length travel there; which documents of a length are taken is decided by a seeded hash.
+the others by weight. A source first takes an even share of the documents of every exact length (several times over where
+the target asks for it), and the remaining budget is fitted by bounded-knapsack dynamic programming over (length, takes
+left). Only counts by length travel there; which documents of a length are taken is decided by a seeded hash.
 
 Scale: one scan reduces texts to (id, source, size). The knapsack of a source sees one row per distinct length, so its
 memory is bounded by the longest document, not by the number of documents. The seeded choice inside one length never
@@ -100,27 +100,36 @@ def subset_sum(lengths: np.ndarray, available: np.ndarray, budget: int) -> np.nd
 
 
 def fit_source(rows: pd.DataFrame) -> pd.DataFrame:
-    """Passes and extra documents per length for one source; `rows` has one row per exact length."""
+    """Passes and extra documents per length for one source; `rows` has one row per exact length.
+
+    A document may be taken up to `max_repeats` times. Every length first gets its even share of the takes; then single
+    takes are given out (while much is left) or given back (until the exact fit has some room), in seeded order.
+    """
     rows = rows.sort_values("size", ignore_index=True)
     lengths, counts = rows["size"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
     total, budget = int((lengths * counts).sum()), int(round(rows["target"].iloc[0]))
-    passes, rest = divmod(budget, total) if total else (0, 0)
-    extra = np.zeros(len(rows), dtype=np.int64)
-    if rest:
-        share = counts * (rest / total)
-        extra = np.minimum(np.floor(share).astype(np.int64), counts) * (lengths > 0)
-        rest -= int((extra * lengths).sum())
-        # One more document for the lengths that rounding cut most (ties in seeded order, so that no length is favoured),
-        # as long as plenty is left for the exact fit.
-        ties = np.random.default_rng(SEED).permutation(len(rows))
-        for i in np.lexsort((ties, -(share - np.floor(share)))):
+    most = counts * rows["max_repeats"].to_numpy(np.int64) * (lengths > 0)
+    taken = np.zeros(len(rows), dtype=np.int64)
+    if total:
+        share = counts * (budget / total)
+        taken = np.minimum(np.floor(share).astype(np.int64), most)
+        rest, random = budget - int((taken * lengths).sum()), np.random.default_rng(SEED)
+        for i in np.lexsort((random.permutation(len(rows)), -(share - np.floor(share)))):
             if rest <= DP_WORDS:
                 break
-            if lengths[i] and extra[i] < counts[i] and lengths[i] <= rest:
-                extra[i] += 1
+            if taken[i] < most[i] and lengths[i] <= rest:
+                taken[i] += 1
                 rest -= int(lengths[i])
-        extra += subset_sum(lengths, counts - extra, rest)
-    return rows.assign(passes=passes, extra=extra)[["source", "size", "n", "source_size", "target", "passes", "extra"]]
+        while rest < min(DP_WORDS, budget):
+            for i in random.permutation(np.flatnonzero(taken)):
+                taken[i] -= 1
+                rest += int(lengths[i])
+                if rest >= DP_WORDS:
+                    break
+        order = random.permutation(len(rows))
+        taken[order] += subset_sum(lengths[order], (most - taken)[order], rest)
+    passes, extra = taken // counts, taken % counts
+    return rows.assign(passes=passes, extra=extra)[[c.split()[0] for c in PLAN.split(", ")]]
 
 
 def _order(seed: int) -> Column:
@@ -141,6 +150,7 @@ def mix(
     histogram = narrow.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     goals = targets(histogram, weights, max_repeats).withColumnRenamed("source", "name")
     with_goal = histogram.join(goals, F.col("source").eqNullSafe(F.col("name"))).drop("name")
+    with_goal = with_goal.withColumn("max_repeats", F.lit(max_repeats))
     plan = staged(with_goal.groupBy("source").applyInPandas(fit_source, PLAN), "mix-plan")
 
     named = plan.select(*[F.col(c).alias(f"p_{c}") if c in ("source", "size") else F.col(c) for c in plan.columns])
