@@ -1,6 +1,6 @@
 """N-gram Jaccard join: documents whose sets of five-word shingles are at least 0.8 similar, and their components.
 
-Method: the shingles of a set are hashed into `GROUPS` groups, the group counts are points, R-trees over such points bound
+Method: the shingles of a set are hashed into groups (about a quarter as many as shingles), the group counts are points, R-trees over such points bound
 the overlap of pairs by summed coordinate minima (`count_tree`), and surviving pairs are verified on the full sets.
 
 A single tree over the whole corpus cannot prune: all documents of one length spread their shingles over the groups alike,
@@ -37,7 +37,8 @@ from tillroll.llm.count_tree import CountTree, can_overlap, sizes_fit
 from tillroll.llm.word_grams import WordHashes, gram_hashes, hashed_words, mixed
 
 SHINGLE = 5
-GROUPS = 128
+LEAST_GROUPS, MOST_GROUPS = 4, 12  # powers of two
+SEEN_SETS = 1 << 20
 BLOCK_BYTES = 4 << 20
 SAMPLE_DOCS = 4000
 FREQUENT_IN_SAMPLE = 4
@@ -79,14 +80,37 @@ def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[byte
         low += len(texts)
 
 
+def groups_for(n: int) -> int:
+    """Groups for a set of n shingles: about four shingles each, so that unlike sets differ in most groups."""
+    return 1 << min(max((max(n, 1) // 4).bit_length(), LEAST_GROUPS), MOST_GROUPS)
+
+
 def group_counts(shingles: np.ndarray) -> bytes:
-    """Counts by group: one byte each, or two where one count needs it."""
-    counts = np.bincount((shingles >> np.uint64(57)).astype(np.int64), minlength=GROUPS)
-    return counts.astype("<u1" if counts.max() < 256 else "<u4").tobytes()
+    """Counts by group, after one byte that tells the bytes per count. Groups are leading bits of the hash, so the counts
+    for half as many groups are sums of neighbours."""
+    groups = groups_for(len(shingles))
+    at = (shingles >> np.uint64(64 - groups.bit_length() + 1)).astype(np.int64)
+    counts = np.bincount(at, minlength=groups)
+    width = 1 if counts.max() < 256 else 4
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def point_of(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{packed[0]}", offset=1)
+
+
+def folded(point: np.ndarray, groups: int) -> np.ndarray:
+    """The same counts for fewer groups, along the last axis."""
+    if point.shape[-1] == groups:
+        return point
+    return point.reshape(*point.shape[:-1], groups, -1).sum(axis=-1, dtype=np.int32)
 
 
-def points_of(column: list[bytes]) -> np.ndarray:
-    return np.stack([np.frombuffer(b, "<u1" if len(b) == GROUPS else "<u4").astype(np.int32) for b in column])
+def overlap_bound(a: bytes, b: bytes) -> int:
+    """No two sets with these counts share more shingles."""
+    x, y = point_of(a), point_of(b)
+    groups = min(len(x), len(y))
+    return int(np.minimum(folded(x, groups), folded(y, groups)).sum(dtype=np.int64))
 
 
 def prefix_of(shingles: np.ndarray, frequent: np.ndarray, ranks: np.ndarray) -> np.ndarray:
@@ -132,18 +156,22 @@ def described(keyed: DataFrame, frequent: np.ndarray) -> DataFrame:
     shared = keyed.sparkSession.sparkContext.broadcast((frequent[order], (order + 1).astype(np.int64)))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, (known, ranks) = WordHashes(), shared.value
+        hashes, (known, ranks), seen = WordHashes(), shared.value, set()
         for batch in batches:
             for low, texts in _blocks(batch, 2):
                 sets = shingle_sets(texts, hashes)
-                ids = [int(mixed(s).sum(dtype=np.uint64)) for s in sets]
+                ids = np.array([int(mixed(s).sum(dtype=np.uint64)) for s in sets], dtype=np.uint64).view(np.int64)
+                # A set that this task has met has its prefix listed already; forgetting some merely lists it again.
+                fresh = [not (i in seen or seen.add(i)) for i in ids.tolist()]
+                if len(seen) > SEEN_SETS:
+                    seen.clear()
                 columns = [
                     batch.column(0).slice(low, len(texts)),
                     batch.column(1).slice(low, len(texts)),
                     pa.array([len(s) for s in sets], pa.int32()),
-                    pa.array(np.array(ids, dtype=np.uint64).view(np.int64)),
+                    pa.array(ids),
                     pa.array([group_counts(s) for s in sets], pa.binary()),
-                    pa.array([prefix_of(s, known, ranks) for s in sets], pa.list_(pa.int64())),
+                    pa.array([prefix_of(s, known, ranks) if new else None for s, new in zip(sets, fresh)], pa.list_(pa.int64())),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc", "body", "n", "sid", "counts", "prefix"])
 
@@ -153,11 +181,9 @@ def described(keyed: DataFrame, frequent: np.ndarray) -> DataFrame:
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose summed minima admit the similarity."""
     for batch in batches:
-        if batch.num_rows:
-            rows = {name: batch.column(name) for name in batch.schema.names}
-            overlap = np.minimum(points_of(rows["a_counts"].to_pylist()), points_of(rows["b_counts"].to_pylist())).sum(axis=1)
-            fit = can_overlap(overlap, rows["a_n"].to_numpy().astype(np.int64), rows["b_n"].to_numpy().astype(np.int64))
-            yield batch.select(list(PAIR_COLUMNS)).filter(pa.array(fit))
+        rows = zip(*(batch.column(c).to_pylist() for c in ("a_counts", "b_counts", "a_n", "b_n")))
+        fit = [bool(can_overlap(overlap_bound(x, y), n, m)) for x, y, n, m in rows]
+        yield batch.select(list(PAIR_COLUMNS)).filter(pa.array(fit, pa.bool_()))
 
 
 PAIR_COLUMNS = ("a", "b", "a_doc", "a_body", "b_doc", "b_body")
@@ -201,8 +227,9 @@ def _star_pairs(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs of each block's leader with its members, and the rows of blocks with more than one member."""
     block = Window.partitionBy("token", "salt")
     rows = tokens.withColumn("leader", F.min(F.struct("sid", "n")).over(block)).withColumn("members", F.count(F.lit(1)).over(block))
-    live = staged(rows.filter((F.col("members") > 1) | (F.col("salt") >= 0)), "jaccard-live")
-    leaders = live.filter("salt >= 0 AND sid = leader.sid").select("token", "sid", "n")
+    shared = rows.filter((F.col("members") > 1) | (F.col("salt") >= 0)).drop("members")
+    live = staged(shared, "jaccard-live")
+    leaders = live.filter("salt >= 0 AND sid = leader.sid").select("token", "sid", "n").distinct()
     head = leaders.groupBy("token").agg(F.min(F.struct("sid", "n")).alias("leader"))
     across = leaders.join(head, "token").select("leader", "sid", "n")
     stars = live.select("leader", "sid", "n").union(across).filter("leader.sid <> sid")
@@ -235,36 +262,29 @@ def _block_keys(table: pa.Table) -> np.ndarray:
 
 
 def _block_pairs(table: pa.Table, first: np.ndarray) -> Iterator[pa.RecordBatch]:
-    points = points_of(table["counts"].to_pylist())
+    counts = table["counts"].to_pylist()
     sid, n, comp, part, one, two = (table[c].to_numpy() for c in ("sid", "n", "comp", "part", "one", "two"))
     n = n.astype(np.int64)
     starts = np.unique(first)
     ends = np.append(starts[1:], len(first))
     found = []
     small = (ends - starts <= LEAF_ROWS) & (one[starts] == two[starts])
-    # Blocks no larger than a leaf: their pairs are bounded directly, many blocks at once.
+    # Blocks no larger than a leaf have nothing to descend: their pairs are bounded directly.
     last = np.repeat(ends, ends - starts)
     rows = np.flatnonzero(np.repeat(small, ends - starts))
     for low in range(0, len(rows), 4096):
         i = rows[low : low + 4096]
-        left = np.repeat(i, last[i] - i - 1)
-        right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(last[i] - i - 1) - (last[i] - i - 1), last[i] - i - 1)
+        after = last[i] - i - 1
+        left = np.repeat(i, after)
+        right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
         fit = (comp[left] != comp[right]) & sizes_fit(n[left], n[left], n[right], n[right])
-        left, right = left[fit], right[fit]
-        for cut in range(0, len(left), 1 << 14):
-            x, y = left[cut : cut + (1 << 14)], right[cut : cut + (1 << 14)]
-            fit = can_overlap(np.minimum(points[x], points[y]).sum(axis=1, dtype=np.int64), n[x], n[y])
-            found.append((x[fit], y[fit]))
+        for x, y in np.unique(np.stack([left[fit], right[fit]], axis=1), axis=0):
+            if can_overlap(overlap_bound(counts[x], counts[y]), n[x], n[y]):
+                found.append((np.array([x]), np.array([y])))
     for low, high in zip(starts[~small], ends[~small]):
-        if one[low] == two[low]:
-            trees, shifts = (CountTree(points[low:high], n[low:high]),), (np.arange(low, high),)
-        else:
-            shifts = tuple(low + np.flatnonzero(part[low:high] == p) for p in (one[low], two[low]))
-            trees = tuple(CountTree(points[s], n[s]) for s in shifts if len(s))
-            if len(trees) < 2:
-                continue
-        for i, j in trees[0].join(*trees[1:]):
-            x, y = shifts[0][i], shifts[-1][j]
+        rows = np.arange(low, high)
+        sides = [rows] if one[low] == two[low] else [rows[part[low:high] == p] for p in (one[low], two[low])]
+        for x, y in _tree_join(sides, counts, n):
             fit = comp[x] != comp[y]
             found.append((x[fit], y[fit]))
     if found:
@@ -274,6 +294,36 @@ def _block_pairs(table: pa.Table, first: np.ndarray) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
+def _tree_join(sides: list[np.ndarray], counts: list[bytes], n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows by R-trees: within one side, or between two. Rows whose numbers of groups differ by more than a factor
+    of two differ too much in size, so a tree meets the trees of its own and of the neighbouring number of groups."""
+
+    def by_groups(rows: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        groups = np.array([groups_for(k) for k in n[rows].tolist()], dtype=np.int64)
+        return {
+            g: (rows[groups == g], np.stack([point_of(counts[i]).astype(np.int32) for i in rows[groups == g]]))
+            for g in np.unique(groups).tolist()
+        }
+
+    def join(left, right=None, groups=None):
+        (rows_a, points_a), (rows_b, points_b) = left, right or left
+        tree = CountTree(folded(points_a, groups or points_a.shape[1]), n[rows_a])
+        other = CountTree(folded(points_b, groups), n[rows_b]) if right else None
+        for i, j in tree.join(other):
+            yield rows_a[i], rows_b[j]
+
+    first, second = by_groups(sides[0]), by_groups(sides[-1])
+    for g, left in first.items():
+        if len(sides) == 1:
+            yield from join(left)
+        elif g in second:
+            yield from join(left, second[g], g)
+        if 2 * g in second:
+            yield from join(left, second[2 * g], g)
+        if len(sides) > 1 and g // 2 in second:
+            yield from join(left, second[g // 2], g // 2)
+
+
 def _open_pairs(live: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
     """Candidate pairs across components, from R-trees over the blocks that still hold several components."""
     labelled = live.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select(
@@ -303,16 +353,9 @@ def _linked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     keyed = _keyed(docs, id_col, text_col)
     frequent = frequent_shingles(keyed, docs.count())
     sets = staged(described(keyed, frequent), "jaccard-sets")
-    classes = (
-        sets.filter("n > 0")
-        .groupBy("sid")
-        .agg(F.min(F.struct("doc", "body", "n")).alias("first"))
-        .select("sid", "first.doc", "first.body", "first.n")
-    )
-    full = sets.select("sid", "doc", "body", "counts", "prefix")
-    classes = classes.join(full, ["sid", "doc", "body"]).dropDuplicates(["sid"])
-    classes = staged(classes, "jaccard-classes")
-    tokens = classes.select("sid", "n", F.explode("prefix").alias("token"))
+    first = sets.filter("n > 0").groupBy("sid").agg(F.min(F.struct("doc", "body", "n", "counts")).alias("first"))
+    classes = staged(first.select("sid", "first.*"), "jaccard-classes")
+    tokens = sets.select("sid", "n", F.explode("prefix").alias("token"))
     if len(frequent):
         hot = docs.sparkSession.createDataFrame([(int(x),) for x in frequent.view(np.int64)], "token long")
         tokens = tokens.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "token", "left")
@@ -320,8 +363,6 @@ def _linked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     else:
         salt = F.lit(-1)
     tokens = tokens.select("token", salt.cast("int").alias("salt"), "sid", "n")
-    classes = classes.drop("prefix")
-
     stars, live = _star_pairs(tokens)
     tested = staged(stars, "jaccard-stars")
     links = links_of(tested, classes, keyed)
