@@ -165,3 +165,23 @@ def test_correlation_of_pairs_and_of_a_constant(spark):
     keep = [i for i in range(200) if i % 4]
     assert got["x", "y"] == got["y", "x"] == pytest.approx(np.corrcoef(x[keep], y[keep])[0, 1])
     assert got["x", "x"] == 1.0 and got["c", "c"] is None and got["x", "c"] is None and len(got) == 9
+
+
+def test_every_hot_key_is_salted(spark):
+    left = spark.range(6000).selectExpr("id % 1500 as k", "id as row")
+    right = spark.range(1500).selectExpr("id as k", "id * 2 as twice")
+    assert hot_keys(left, "k", 2).count() == 1500
+    joined = skew_join(left, right, "k", spread_by="row", how="inner", rows_per_salt=2)
+    assert joined.count() == 6000 and joined.filter("twice <> 2 * k").count() == 0
+
+
+def test_quantile_rows_meet_one_bucket_at_most(spark):
+    """Six wanted ranks lie in one coarse bucket; the join with the buckets still gives every row once."""
+    df = spark.range(1000).selectExpr("cast(id % 7 as int) as v")
+    found = quantiles(df, ["v"], [0.1, 0.25, 0.5, 0.75, 0.9, 0.99])
+    assert {r.p: r.value for r in found.collect()} == {
+        p: float(np.quantile(np.arange(1000) % 7, p)) for p in (0.1, 0.25, 0.5, 0.75, 0.9, 0.99)
+    }
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    targets_in_groups = [line for line in plan.split("\n") if "Aggregate" in line and "_rank" in line and "count(1)" in line]
+    assert not targets_in_groups

@@ -259,3 +259,20 @@ def test_seller_view_repeats_items_per_review(spark):
 def test_bi_export_has_no_times_and_no_booleans(spark):
     df = spark.sql("select timestamp_ntz'2018-01-02 03:04:05' t, date'2018-01-02' d, true b, cast(null as timestamp_ntz) n, 1 i")
     assert tuple(warehouse.bi_export(df).first()) == ("2018-01-02 03:04:05", "2018-01-02", 1, None, 1)
+
+
+@pytest.mark.parametrize("t, df, p", [(3.0, 999_999, 0.002699862541488), (3.0, 1_000_001, 0.0026998625413553), (1e6, 1, 6.366197723673692e-07)])
+def test_t_tail_is_one_rule_for_every_size(t, df, p):
+    assert S.two_sided_t_tail(t, df) == pytest.approx(p, rel=1e-9)
+
+
+def test_t_tail_is_smooth_over_large_samples():
+    below, above = S.two_sided_t_tail(20.0, 999_999), S.two_sided_t_tail(20.0, 1_000_001)
+    assert above < below and above == pytest.approx(below, rel=1e-6)
+
+
+def test_orphan_sample_lists_each_order_once(spark):
+    orders = spark.createDataFrame([("o2", "x"), ("o1", None), ("o2", "x"), ("o3", "c")], "order_id string, customer_id string")
+    customers = spark.createDataFrame([("c",)], "customer_id string")
+    sample = quality.orphan_order_sample({"orders": orders, "customers": customers})
+    assert [r.order_id for r in sample.collect()] == ["o1", "o2"]

@@ -5,7 +5,6 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tillroll.operators.staging import stage
 from tillroll.plans import run as batch
 from tillroll.plans import views
 from tillroll.schemas import RAW, WAREHOUSE
@@ -149,7 +148,20 @@ def test_bucketed_catalog_tables_join_without_shuffle(spark, tmp_path):
         spark.sql("drop database shop cascade")
 
 
-def test_staging_uses_the_shared_folder(spark):
-    staged = stage(spark.range(5))
-    assert spark.conf.get("spark.checkpoint.dir") in staged.inputFiles()[0]
-    assert sorted(r.id for r in staged.collect()) == [0, 1, 2, 3, 4]
+def test_a_failing_table_does_not_stop_the_fact(spark, tmp_path, monkeypatch):
+    from retail_fixture import raw_tables
+
+    from tillroll.plans import clean
+
+    def broken(raw):
+        tables = whole(raw)
+        return tables | {"payments": tables["payments"].withColumn("payment_value", F.raise_error(F.lit("broken")).cast("double"))}
+
+    whole = clean.clean_tables
+    monkeypatch.setattr(batch.clean, "clean_tables", broken)
+    raw = raw_tables(spark, "/root/testdata/sf0.001")
+    with pytest.raises(WriteFailure) as failed:
+        batch.load_warehouse(spark, raw, str(tmp_path / "w"), str(tmp_path / "s"))
+    assert "payments" in failed.value.failures
+    assert {"dim_time", "dim_products", "reviews", "order_items"} <= set(failed.value.written)
+    assert "fact_orders" in failed.value.written or "fact_orders" in failed.value.failures

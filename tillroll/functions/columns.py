@@ -75,10 +75,6 @@ def all_null(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNull() for c in columns])
 
 
-def percent(part: Column, whole: Column) -> Column:
-    return F.try_divide(part * F.lit(100.0), whole)
-
-
 def month_of(ts: Column) -> Column:
     # By way of the date: formatting a zoneless timestamp itself would pass through the session time zone.
     return F.date_format(F.to_date(ts), "yyyy-MM")

@@ -92,12 +92,12 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Iterable[flo
     )
 
     # Finer levels: only rows in a bucket that holds a wanted rank. ``located`` has two rows per column and p, so it is
-    # broadcast; a row is counted once for every rank its bucket holds.
+    # broadcast. Rows meet the distinct buckets, at most one each, and are counted once; the ranks join the counts.
     target = ["p", "side", "_part", "_rank"]
     for depth in range(1, len(names)):
         outer, level = ["column_name", *names[:depth]], names[depth]
-        inside = rows.join(F.broadcast(located), outer)
-        counts = inside.groupBy(*outer, *target, level).agg(F.count(F.lit(1)).alias("_n"))
+        inside = rows.join(F.broadcast(located.select(*outer).distinct()), outer)
+        counts = inside.groupBy(*outer, level).agg(F.count(F.lit(1)).alias("_n")).join(F.broadcast(located), outer)
         located = (
             _up_to(counts, [*outer, *target], level)
             .filter((F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))

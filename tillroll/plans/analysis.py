@@ -28,7 +28,6 @@ from ..operators.histogram import histogram
 from ..operators.joins import repeat_copies, skew_join, split_copies
 from ..operators.profile import describe
 from ..operators.quantiles import quantile_row, with_row
-from ..operators.staging import stage
 from . import warehouse
 
 Raw = Mapping[str, DataFrame]
@@ -69,9 +68,9 @@ def payment_totals(raw: Raw) -> DataFrame:
 
 
 def order_values(raw: Raw) -> DataFrame:
-    """Positive value of every order that has a payment, one column, staged for the passes that follow."""
+    """Positive value of every order that has a payment, one column."""
     joined = item_totals(raw).join(payment_totals(raw).select("order_id"), "order_id")
-    return stage(joined.filter("order_value > 0").select("order_value"))
+    return joined.filter("order_value > 0").select("order_value")
 
 
 def scored(raw: Raw) -> DataFrame:
@@ -334,10 +333,10 @@ def order_features(raw: Raw) -> DataFrame:
     """One row per review of an order with items and payments; the delay is null unless known.
 
     An order row that occurs several times repeats its reviews. Its copies are only counted until after the joins. The
-    row number that spreads the reviews of a hot order is stable for a table read from files.
+    reviews of a hot order are spread by their own id, so a repeated task spreads them alike.
     """
     score = F.col("review_score").cast("double").alias("review_score")
-    reviews = raw["reviews"].select("order_id", score).dropna().withColumn("_row", F.monotonically_increasing_id())
+    reviews = raw["reviews"].select("order_id", "review_id", score).dropna(subset=["order_id", "review_score"])
     late = (
         delivered(raw)
         .select("order_id", F.col("delivery_delay_days").cast("double"))
@@ -348,7 +347,7 @@ def order_features(raw: Raw) -> DataFrame:
     per_order = item_totals(raw).join(payment_totals(raw), "order_id").join(late, "order_id", "left")
     per_order = per_order.withColumn("_copies", F.coalesce("_copies", F.lit(1)))
     reviews, per_order = split_copies(reviews, per_order, "order_id", "_copies")
-    joined = skew_join(reviews, per_order, ["order_id", "_part"], spread_by="_row", how="inner")
+    joined = skew_join(reviews, per_order, ["order_id", "_part"], spread_by="review_id", how="inner")
     return repeat_copies(joined, "_copies").select("order_id", *FEATURES)
 
 

@@ -80,7 +80,7 @@ def referential_integrity(raw: Raw) -> DataFrame:
 def orphan_order_sample(raw: Raw, rows: int = 3) -> DataFrame:
     """A few orders without a customer, for the eye."""
     orphans = orphan_counts(raw["orders"], raw["customers"], "customer_id", "order_id")
-    return orphans.select("order_id").orderBy("order_id").limit(rows)
+    return orphans.select("order_id").distinct().orderBy("order_id").limit(rows)
 
 
 def date_consistency(raw: Raw, as_of: Column | None = None) -> DataFrame:

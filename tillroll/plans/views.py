@@ -87,11 +87,14 @@ def customer_summary(customers: DataFrame, fact: DataFrame) -> DataFrame:
 
 
 def register(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
-    """Make the warehouse tables and the three views available to ``spark.sql``."""
+    """Make the warehouse tables and the views whose tables exist available to ``spark.sql``."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
-    monthly_revenue(tables["fact_orders"], tables["dim_time"]).createOrReplaceTempView("v_monthly_revenue")
-    seller_performance(tables["dim_sellers"], tables["order_items"], tables["reviews"]).createOrReplaceTempView(
-        "v_seller_performance"
-    )
-    customer_summary(tables["dim_customers"], tables["fact_orders"]).createOrReplaceTempView("v_customer_summary")
+    views = {
+        "v_monthly_revenue": (monthly_revenue, "fact_orders", "dim_time"),
+        "v_seller_performance": (seller_performance, "dim_sellers", "order_items", "reviews"),
+        "v_customer_summary": (customer_summary, "dim_customers", "fact_orders"),
+    }
+    for view, (build, *sources) in views.items():
+        if all(source in tables for source in sources):
+            build(*[tables[source] for source in sources]).createOrReplaceTempView(view)

@@ -17,18 +17,25 @@ FACT_PARTS = ("customer", "payment", "items", "review", "time")
 def payment_agg(payments: DataFrame) -> DataFrame:
     """Per order: paid total, most installments, most frequent payment type (lowest name on a tie, nulls ignored).
 
-    ``mode`` keeps one count per payment type of an order, and types are a short list, so its state stays small however
-    many rows an order has; counts combine on the map side.
+    Rows are first reduced per order and type by a hash aggregate, whose partitioning by order the second one keeps.
     """
-    return (
+    per_type = (
         payments.filter(F.col("order_id").isNotNull())
-        .groupBy("order_id")
+        .repartition("order_id")
+        .groupBy("order_id", "payment_type")
         .agg(
-            total(F.col("payment_value")).alias("total_payment"),
-            F.max("payment_installments").alias("payment_installments"),
-            F.mode("payment_type", deterministic=True).alias("payment_type"),
+            F.sum("payment_value").alias("_paid"),
+            F.max("payment_installments").alias("_most"),
+            F.count(F.lit(1)).alias("_n"),
         )
     )
+    known = F.col("payment_type").isNotNull()
+    often = F.when(known, F.struct((-F.col("_n")).alias("fewer"), F.col("payment_type").alias("name")))
+    return per_type.groupBy("order_id").agg(
+        total(F.col("_paid")).alias("total_payment"),
+        F.max("_most").alias("payment_installments"),
+        F.min(often)["name"].alias("payment_type"),
+    )
 
 
 def items_agg(items: DataFrame) -> DataFrame:
