@@ -1,6 +1,6 @@
 """N-gram Jaccard join: documents whose sets of five-word shingles are at least 0.8 similar, and their components.
 
-Method: the shingles of a set are hashed into groups (about as many as shingles), the group counts are points, R-trees over such points bound
+Method: the shingles of a set are hashed into groups (about one or two shingles each), the group counts are points, R-trees over such points bound
 the overlap of pairs by summed coordinate minima (`count_tree`), and surviving pairs are verified on the full sets.
 
 A single tree over the whole corpus cannot prune: all documents of one length spread their shingles over the groups alike,
@@ -39,6 +39,8 @@ from tillroll.llm.word_grams import WordHashes, gram_hashes, hashed_words, mixed
 SHINGLE = 5
 LEAST_GROUPS, MOST_GROUPS = 5, 14  # powers of two
 SEEN_SETS = 1 << 20
+MANY = 3
+UNPACKED = (np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3).astype(np.int32)
 BLOCK_BYTES = 4 << 20
 SAMPLE_DOCS = 4000
 FREQUENT_IN_SAMPLE = 4
@@ -81,22 +83,27 @@ def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[byte
 
 
 def groups_for(n: int) -> int:
-    """Groups for a set of n shingles: about one shingle each, so that unlike parts of two sets differ in most groups."""
-    return 1 << min(max(n.bit_length(), LEAST_GROUPS), MOST_GROUPS)
+    """Groups for a set of n shingles: one or two shingles each, so that unlike parts of two sets differ in most groups."""
+    return 1 << min(max((n // 2).bit_length(), LEAST_GROUPS), MOST_GROUPS)
 
 
 def group_counts(shingles: np.ndarray) -> bytes:
-    """Counts by group, after one byte that tells the bytes per count. Groups are leading bits of the hash, so the counts
-    for half as many groups are sums of neighbours."""
+    """The largest count, then two bits for each group: 0, 1, 2, or 3 for anything from 3 up to the largest count.
+
+    Groups are leading bits of the hash, so the counts for half as many groups are sums of neighbours.
+    """
     groups = groups_for(len(shingles))
     at = (shingles >> np.uint64(64 - groups.bit_length() + 1)).astype(np.int64)
     counts = np.bincount(at, minlength=groups)
-    width = 1 if counts.max() < 256 else 4
-    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+    codes = np.minimum(counts, MANY).astype(np.uint8).reshape(-1, 4)
+    return int(counts.max()).to_bytes(4, "little") + (codes << np.arange(0, 8, 2, dtype=np.uint8)).sum(axis=1, dtype=np.uint8).tobytes()
 
 
 def point_of(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, f"<u{packed[0]}", offset=1)
+    """Counts that are exact below 3 and not too small from there, so sums of their minima still bound the overlap."""
+    codes = UNPACKED[np.frombuffer(packed, np.uint8, offset=4)].ravel()
+    most = int.from_bytes(packed[:4], "little")
+    return np.where(codes == MANY, most, codes) if most > MANY else codes
 
 
 def folded(point: np.ndarray, groups: int) -> np.ndarray:
