@@ -1,6 +1,6 @@
 """N-gram Jaccard join: documents whose sets of five-word shingles are at least 0.8 similar, and their components.
 
-Method: the shingles of a set are hashed into groups (about one or two shingles each), the group counts are points, R-trees over such points bound
+Method: the shingles of a set are hashed into groups (about as many as shingles), the group counts are points, R-trees over such points bound
 the overlap of pairs by summed coordinate minima (`count_tree`), and surviving pairs are verified on the full sets.
 
 A single tree over the whole corpus cannot prune: all documents of one length spread their shingles over the groups alike,
@@ -37,7 +37,7 @@ from tillroll.llm.count_tree import CountTree, can_overlap, sizes_fit
 from tillroll.llm.word_grams import WordHashes, gram_hashes, hashed_words, mixed
 
 SHINGLE = 5
-LEAST_GROUPS, MOST_GROUPS = 5, 14  # powers of two
+LEAST_GROUPS, MOST_GROUPS = 5, 16  # powers of two
 SEEN_SETS = 1 << 20
 MANY = 3
 UNPACKED = (np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3).astype(np.int32)
@@ -83,8 +83,8 @@ def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[byte
 
 
 def groups_for(n: int) -> int:
-    """Groups for a set of n shingles: one or two shingles each, so that unlike parts of two sets differ in most groups."""
-    return 1 << min(max((n // 2).bit_length(), LEAST_GROUPS), MOST_GROUPS)
+    """Groups for a set of n shingles: at most one shingle each on average, so that unlike parts of two sets differ in most groups."""
+    return 1 << min(max(n.bit_length(), LEAST_GROUPS), MOST_GROUPS)
 
 
 def group_counts(shingles: np.ndarray) -> bytes:
