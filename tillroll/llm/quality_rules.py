@@ -2,7 +2,8 @@
 
 `ledger` evaluates every rule once and stores the measurements with one failure bit per rule. Policies are versioned
 sets of bits over the stored ledger, so changing a policy needs no second look at any text, and `ablation` tells from
-bit counts alone what each rule of a policy removes on its own.
+bit counts alone what each rule of a policy removes on its own. Write the ledger as a table before filtering by policies:
+on the bare plan, Spark would push such a filter below the measurements and take them again for every rule.
 
 Everything is built from SQL functions on one row at a time: no shuffle, and no row is ever split over tasks. Windows
 of three words are compared by 64-bit hashes inside one document only; the chance that two different windows of one
