@@ -201,10 +201,10 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[s
             bodies = batch.column(1).to_pylist()
             rows = [i for i, b in enumerate(bodies) if b is not None] if known.languages else []
             names, scores = [UNKNOWN] * len(bodies), np.zeros(len(bodies))
-            best, sure = known.predict([bodies[i] for i in rows])
-            for i, lang in zip(rows, best):
-                names[i] = known.languages[lang]
-            scores[rows] = sure
+            if rows:
+                best, scores[rows] = known.predict([bodies[i] for i in rows])
+                for i, lang in zip(rows, best):
+                    names[i] = known.languages[lang]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 ["whole", "lang_pred", "score"],
