@@ -4,6 +4,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillroll.llm import count_tree, exact_dedup, jaccard_join, substring_dedup
@@ -36,6 +37,36 @@ def test_repeats_over_many_small_batches(spark, docs, messy):
     assert brute.ordered(got) == brute.ordered(brute.repeats(messy))
 
 
+def found_ranges(rows, batch_rows=10_000):
+    """(doc, word) at which a repeated window starts, by the steps of `repeated_ranges` in this process."""
+    docs, texts = zip(*rows)
+    batch = pa.record_batch([pa.array(docs), pa.array([0] * len(rows), pa.int32()), pa.array(texts, pa.binary())], ["doc", "body", "bytes"])
+    met = pa.Table.from_batches(substring_dedup._occurrences(iter([batch]))).sort_by([("seed", "ascending"), ("doc", "ascending")])
+    found = set()
+    for part in substring_dedup._extended(iter(met.to_batches(max_chunksize=batch_rows))):
+        for doc, _, start, covered in zip(*part.to_pydict().values()):
+            found |= {(doc, start + i) for i in range(13) if covered >> i & 1}
+    return found
+
+
+@pytest.mark.parametrize("batch_rows", [3, 10_000])
+def test_windows_that_agree_in_half_a_fingerprint(batch_rows, monkeypatch):
+    """A short frequent line with differing neighbours, and one passage that does repeat."""
+    rng = random.Random(4)
+    line, passage = [f"l{i}" for i in range(9)], [f"p{i}" for i in range(20)]
+
+    def text(i):
+        around = [f"x{rng.randrange(10**9)}" for _ in range(60)]
+        return b" ".join(w.encode() for w in around[:30] + line + around[30:] + passage * (i % 7 == 3))
+
+    rows = [(i, text(i)) for i in range(40)]
+    exact = substring_dedup.gram_hashes
+    for half in (0xFFFFFFFF, 0xFFFFFFFF00000000):
+        cut = lambda words, size, half=half: exact(words, size) & np.uint64(half if size == 13 else 2**64 - 1)
+        monkeypatch.setattr(substring_dedup, "gram_hashes", cut)
+        assert found_ranges(rows, batch_rows) == {(i, 69 + k) for i in range(4, 40) if i % 7 == 3 for k in range(8)}
+
+
 def test_equal_windows_pick_equal_seeds():
     rng = np.random.default_rng(1)
     run = rng.integers(0, 1 << 60, 13).astype(np.uint64)

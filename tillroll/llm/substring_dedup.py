@@ -10,7 +10,7 @@ are the maximal repeats; they go back to the document as ranges of words.
 Scale: only fingerprints are joined, one row per seed occurrence (about 0.18 per word). Inside each block of a task,
 occurrences whose whole surroundings were already met in a smaller document are settled before the shuffle, so a passage
 that a third of all documents share arrives as a few rows per block. Equality of extents is judged on the 64-bit seed
-hash plus 32 bits per window, between occurrences of the same seed only.
+hash plus 64 bits per window, between occurrences of the same seed only.
 
 Defined cases: a null or short text loses nothing; a null id counts as larger than any other; rows that share an id do
 not clear each other; repeated rows get equal results; an empty table gives an empty result; further columns are ignored.
@@ -35,6 +35,7 @@ BLOCK_BYTES = 4 << 20
 LAST_ID = (1 << 63) - 1
 
 # `place` packs, from the top: 32 bits of the text's hash, 27 of the first word, 4 of the lead, 1 for settled.
+# A settled row has no prints, and its number of windows in place of the lead.
 OCCURRENCES = "seed long, doc long, place long, prints binary"
 RANGES = "doc long, body int, start int, covered int"
 
@@ -43,7 +44,7 @@ def seeds(words: np.ndarray, ends: np.ndarray, window: int = WINDOW, seed_words:
     """Seed occurrences of a block of texts: (text, start, lead, count, seed, prints).
 
     An occurrence stands for `count` consecutive windows from word `start` of its text on, which all picked the same seed;
-    the seed stands `lead` words after the start of the first. `prints` holds one 32-bit fingerprint per window, in order.
+    the seed stands `lead` words after the start of the first. `prints` holds one 64-bit fingerprint per window, in order.
     """
     n = max(0, len(words) - window + 1)
     grams = gram_hashes(words, seed_words)
@@ -61,7 +62,7 @@ def seeds(words: np.ndarray, ends: np.ndarray, window: int = WINDOW, seed_words:
         reach += shift
     places = np.flatnonzero(inside)
     at, text = at[:n][places], text[places]
-    prints = (gram_hashes(words, window)[places] >> np.uint64(32)).astype(np.uint32)
+    prints = gram_hashes(words, window)[places]
     first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (text[1:] != text[:-1])])) if len(at) else np.zeros(0, np.int64)
     count = np.diff(np.concatenate([first, [len(at)]])).astype(np.int64)
     begin = ends - lengths
@@ -81,7 +82,7 @@ def _settled(seed: np.ndarray, lead: np.ndarray, count: np.ndarray, prints: np.n
         return np.zeros(0, bool)
     weights = mixed(np.arange(1, 65, dtype=np.uint64))
     inner = np.arange(len(prints)) - np.repeat(np.cumsum(count) - count, count)
-    whole = np.add.reduceat(mixed(prints.astype(np.uint64) + weights[inner]), np.cumsum(count) - count)
+    whole = np.add.reduceat(mixed(prints + weights[inner]), np.cumsum(count) - count)
     key = mixed(seed.view(np.uint64) + mixed(whole + lead.astype(np.uint64) * np.uint64(64) + count.astype(np.uint64)))
     order = np.lexsort((doc, key))
     fresh = np.concatenate([[True], key[order][1:] != key[order][:-1]])
@@ -106,10 +107,10 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             settled = _settled(seed, lead, count, prints, doc)
             # Settled rows only pass through; a spread key keeps them off the partitions of frequent seeds.
             seed = np.where(settled, mixed(seed.view(np.uint64) + doc.view(np.uint64)).view(np.int64), seed)
-            offsets = np.concatenate([[0], np.cumsum(count) * 4]).astype(np.int32)
-            binary = pa.BinaryArray.from_buffers(
-                pa.binary(), len(count), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(prints))]
-            )
+            prints = np.ascontiguousarray(prints[np.repeat(~settled, count)])
+            offsets = np.concatenate([[0], np.cumsum(np.where(settled, 0, count)) * 8]).astype(np.int32)
+            binary = pa.BinaryArray.from_buffers(pa.binary(), len(count), [None, pa.py_buffer(offsets), pa.py_buffer(prints)])
+            lead = np.where(settled, count, lead)
             place = body.astype(np.int64) << 32 | start.astype(np.int64) << 5 | lead.astype(np.int64) << 1 | settled
             columns = [pa.array(seed), pa.array(doc), pa.array(place), binary]
             yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in OCCURRENCES.split(", ")])
@@ -131,11 +132,10 @@ def extend(seed, doc, lead, count, prints) -> np.ndarray:
     count = count[shared]
     row = np.repeat(np.arange(len(shared)), count)
     inner = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    mark = prints[np.repeat(starts, count) + inner].astype(np.uint64)
-    offset = (lead[shared][row] - inner + 64).astype(np.uint64)
-    key = (group[shared][row].astype(np.uint64) << np.uint64(39)) | (offset << np.uint64(32)) | mark
-    order = np.argsort(key, kind="stable")
-    fresh = np.concatenate([[True], key[order][1:] != key[order][:-1]])
+    mark = prints[np.repeat(starts, count) + inner]
+    near = group[shared][row] << 4 | lead[shared][row] - inner
+    order = np.lexsort((mark, near))
+    fresh = _fresh(near[order], mark[order])
     owner = doc[shared][row][order]
     smallest = owner[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
     hit = order[owner > smallest]
@@ -143,25 +143,30 @@ def extend(seed, doc, lead, count, prints) -> np.ndarray:
     return covered
 
 
+def _fresh(near: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Where a new pair begins in sorted pairs."""
+    return np.concatenate([[True], (near[1:] != near[:-1]) | (mark[1:] != mark[:-1])])
+
+
 def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ranges from occurrences sorted by (seed, doc).
 
     A seed may run over many batches: what follows needs of it only the distinct (offset, fingerprint) with the smallest
     id of each, which stand in front of the next batch as occurrences of a single window.
     """
-    ahead = (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint32),)
+    ahead = (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)
     for batch in batches:
         table = pa.Table.from_batches([batch])
         doc, place = table["doc"].to_numpy(), table["place"].to_numpy()
         settled, body, start = (place & 1).astype(bool), place >> 32, place >> 5 & (1 << 27) - 1
-        count = pa.compute.binary_length(table["prints"]).to_numpy().astype(np.int64) // 4
         if settled.any():
-            yield _ranges(doc[settled], body[settled], start[settled], (1 << count[settled]) - 1)
+            yield _ranges(doc[settled], body[settled], start[settled], (1 << (place[settled] >> 1 & 15)) - 1)
         open_rows = ~settled
         if not open_rows.any():
             continue
-        prints = np.frombuffer(b"".join(table["prints"].to_pylist()), dtype=np.uint32)[np.repeat(open_rows, count)]
-        doc, body, start, count = doc[open_rows], body[open_rows], start[open_rows], count[open_rows]
+        count = pa.compute.binary_length(table["prints"]).to_numpy()[open_rows].astype(np.int64) // 8
+        prints = np.frombuffer(b"".join(table["prints"].to_pylist()), dtype=np.uint64)
+        doc, body, start = doc[open_rows], body[open_rows], start[open_rows]
         seed, lead = table["seed"].to_numpy()[open_rows], (place >> 1 & 15)[open_rows]
         if len(ahead[0]) and ahead[0][0] != seed[0]:
             ahead = tuple(x[:0] for x in ahead)
@@ -180,8 +185,10 @@ def _distinct(seed, doc, lead, count, prints):
     """The windows of one seed's occurrences, one for each (offset, fingerprint), with the smallest id."""
     row = np.repeat(np.arange(len(seed)), count)
     offset = lead[row] - (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count))
-    keys, first = np.unique((offset + 64).astype(np.uint64) << np.uint64(32) | prints, return_index=True)
-    return seed[row[first]], doc[row[first]], offset[first], np.ones(len(keys), np.int64), prints[first]
+    order = np.lexsort((prints, offset))
+    first = order[_fresh(offset[order], prints[order])]
+    first = first[np.argsort(doc[row[first]], kind="stable")]
+    return seed[row[first]], doc[row[first]], offset[first], np.ones(len(first), np.int64), prints[first]
 
 
 def _ranges(doc: np.ndarray, body: np.ndarray, start: np.ndarray, covered: np.ndarray) -> pa.RecordBatch:
