@@ -62,6 +62,19 @@ def test_fact_joins_by_order_add_no_shuffle(spark):
     assert len(by_order) == 3  # one each for orders, items and reviews: their own aggregation
 
 
+def test_payments_are_reduced_before_they_are_shuffled(spark):
+    from tillroll.plans import warehouse
+
+    payments = spark.range(20_000).selectExpr(
+        "'hot' as order_id", "cast(id as int) as payment_sequential", "if(id % 3 = 0, 'boleto', 'voucher') as payment_type",
+        "1 as payment_installments", "1.0D as payment_value",
+    )
+    per_order = warehouse.payment_agg(payments.repartition(4))
+    assert [tuple(r) for r in per_order.collect()] == [("hot", 20_000.0, 1, "voucher")]
+    steps = re.findall(r"Exchange (?:hashpartitioning|RoundRobin)|HashAggregate", plan_of(warehouse.payment_agg(payments)).split("Initial Plan")[-1])
+    assert steps[-2:] == ["Exchange hashpartitioning", "HashAggregate"]  # from the top: the rows meet an aggregate first
+
+
 def test_unused_parts_of_the_fact_are_not_computed(spark):
     from retail_fixture import RawTables
     from tillroll.plans import clean, warehouse
