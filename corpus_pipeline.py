@@ -16,7 +16,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a predictable language go: null texts and texts without a letter."""
-    predicted = ppm_language.predict(docs, ppm_language.train(docs))
+    model = ppm_language.train(docs)
+    if not model.languages:  # no labels to learn from: the text alone decides
+        return docs.filter(docs["text"].rlike(ppm_language.LETTER))
+    predicted = ppm_language.predict(docs, model)
     return predicted.filter(predicted["lang_pred"] != ppm_language.UNKNOWN).select("whole.*")
 
 

@@ -77,3 +77,10 @@ def test_stages_keep_the_columns(spark):
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
 def test_stages_take_empty_tables(spark, name, stage):
     assert stage(spark, spark.read.parquet(f"{SF}/documents.parquet").limit(0), SF).count() == 0
+
+
+def test_language_stage_keeps_texts_where_nothing_has_a_label(spark):
+    rows = [(1, "some words", None), (2, "1 2 3", None), (3, None, None), (4, "", None), (5, "été", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.known_language(spark, docs, SF)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 5]
