@@ -164,3 +164,14 @@ def test_html_cases(spark):
     got = html_extract.extract(pages, html_extract.train(pages)).select("whole.*", "n_chars").collect()
     assert len(got) == 4 and {r[3] for r in got} == {"x", "y", "z", ""}
     assert html_extract.extract(pages.limit(0), html_extract.train(pages.limit(0))).count() == 0
+
+
+def test_html_learns_from_the_few_pages_that_name_their_article(spark):
+    words = " ".join(f"word{i}" for i in range(60))
+    plain = [(i, f"<html><body><div><p>{words}, {i}</p></div></body></html>") for i in range(400)]
+    named = [(1000, f"<html><body><nav><a href=x>Menu</a></nav><ARTICLE><p>{words}.</p></ARTICLE></body></html>")]
+    pages = spark.createDataFrame(plain + named, "page_id long, html string")
+    trees = html_extract.train(pages, sample_pages=5)
+    assert html_extract.extract_texts([named[0][1]], trees) == [f"{words}."]
+    with pytest.raises(ValueError, match="nothing to learn"):
+        html_extract.train(pages.filter("page_id < 1000"))

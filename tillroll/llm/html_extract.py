@@ -6,14 +6,14 @@ its parent does. Decoding picks the likeliest consistent choice for the whole pa
 dropped, and an element is open only if text of its own or an open child justifies it. The text of open elements is the
 article.
 
-Training: about `SAMPLE_PAGES` pages, drawn by a hash of the id. Pages that name their article element serve as they are,
+Training: about `SAMPLE_PAGES` of the pages that name their article element, drawn by a hash of the id. They serve as they are,
 and their pieces are put together anew in many layouts (`rebuilt`: other containers, side columns, notices, adverts,
 forms, reader comments, in and around the article), where the right answer is known by construction. The trees are
 fitted in one task over that bounded sample and broadcast (some ten thousand numbers).
 
 Defined cases: null or empty html gives the empty text; a page without main text gives the empty text; ids may be null or
-repeated, pages are extracted one by one; further columns are ignored; an empty table gives an empty result; without any
-page to learn from nothing counts as main text.
+repeated, pages are extracted one by one; further columns are ignored; an empty table gives an empty result; where
+there are pages but none to learn from, training raises a ValueError instead of losing their texts.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from tillroll.llm.dom import ATTRIBUTE, Page, parse
 
 SAMPLE_PAGES = 240
+NAMING = "(?i)<(article|main)"
 LAYOUTS = 12
 TREES, DEPTH, RATE, LAMBDA = 100, 5, 0.2, 1.0
 BINS = 32
@@ -362,19 +363,23 @@ def learn(sources: list[str]) -> Trees:
 
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> Trees:
-    """Trees fitted on about `sample_pages` whole pages."""
+    """Trees fitted on about `sample_pages` whole pages, out of those with an <article> or <main>."""
     rows = pages.select(F.col(id_col).cast("string").alias("id"), F.col(html_col).alias("source")).filter("source IS NOT NULL")
-    n = rows.count()
+    naming = F.col("source").rlike(NAMING)
+    n = rows.filter(naming).count()
     draw = F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.filter(draw < min(1.0, sample_pages / max(n, 1)))
+    sample = rows.filter(draw < min(1.0, sample_pages / max(n, 1))).filter(naming)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sources = [s for batch in batches for s in batch.column(1).to_pylist()]
+        taught = any(main_owners(parse(s)) is not None for s in sources)
         model = pickle.dumps(learn(sources))
-        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary()), pa.array([taught])], ["model", "taught"])
 
     ordered = sample.repartition(1).sortWithinPartitions("id", F.xxhash64("source"))
-    found = ordered.mapInArrow(run, "model binary").first()
+    found = ordered.mapInArrow(run, "model binary, taught boolean").first()
+    if not (found and found["taught"]) and rows.filter(F.col("source").rlike(r"\S")).limit(1).count():
+        raise ValueError("no sampled page names its main text in an <article> or <main>, so there is nothing to learn from")
     return pickle.loads(bytes(found["model"])) if found else learn([])
 
 
