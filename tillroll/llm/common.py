@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,20 +11,11 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-_own_folder: list[str] = []
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from `spark.checkpoint.dir`.
-
-    Only where it is unset, as in tests on one machine, a temporary folder is made once per process.
-    """
+    """The folder that driver and executors share: `spark.checkpoint.dir`, and where that is unset a folder in the
+    session's warehouse, which they share as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not _own_folder:
-        _own_folder.append(tempfile.mkdtemp(prefix="tillroll-shared-"))
-    return _own_folder[0]
+    return folder.rstrip("/") if folder else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/tillroll-shared"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -33,10 +23,10 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """`df` written once as Parquet in the shared folder and read again: lineage ends there, lost executors cost nothing."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
