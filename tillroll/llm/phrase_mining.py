@@ -1,19 +1,19 @@
 r"""Collocations from word indexes: an FM-index per shard counts phrases, sums over shards decide.
 
 Texts are lower-cased (A-Z), cut into pieces at `[.,;:!?\x0A-\x0D]` and those into words. Tasks pack the word numbers of
-each language into shards of about `SHARD_WORDS` words, written once to the shared folder. Three passes read them:
+each language into shards of about `SHARD_WORDS` words, written once to the shared folder. Several passes read them:
 
 1. the word counts of the shards are summed;
-2. each shard keeps the words that may reach `min_count`, builds its index and grows every word by one on the right; the
-   pairs are summed by a 64-bit hash;
-3. each shard also cuts its text between words that make no frequent pair, builds its index over what is left, and grows
-   the patterns up to `max_words`, on the right and the left in turn. It gives out each phrase with its count and, per
-   side, the one word beside all its occurrences, if there is one.
+2. for each length from two words on, each shard builds its index over the text that can still hold a frequent phrase of
+   that length, grows the frequent phrases one word shorter, and gives out hash and count of each; the hashes are summed;
+3. each shard builds its index over the text between infrequent pairs, grows patterns up to `max_words` on the right and
+   the left in turn, follows those that are frequent, and gives out each with its words, its count and, per side, the one
+   word beside all its occurrences, if there is one.
 
-A phrase cannot be more frequent than its parts, so nothing of `min_count` is lost by passes 1 and 2. What they found
-travels as a field of `FILTER_BITS` bits addressed by hash, of one size whatever the corpus; hashes that collide only let
-more through, and pass 3 counts phrases by their words. A phrase lies inside a longer one of the same count exactly when
-one word stands beside all its occurrences, in all shards; that settles which candidates are dropped without a join.
+A phrase cannot be more frequent than its parts, so nothing of `min_count` is lost on the way. What a step found travels
+as a field of `FILTER_BITS` bits addressed by hash, of one size whatever the corpus; hashes that collide only let more
+through, and the last step counts phrases by their words. A phrase lies inside a longer one of the same count exactly
+when one word stands beside all its occurrences, in all shards; that settles which candidates are dropped without a join.
 
 Scale: shards are bounded, so is the memory of a task; a frequent phrase is one row per shard, reduced again in the map
 tasks. Ranking sorts parts of a language first and then the best of the parts.
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import staged, text_or_empty
 from tillroll.llm.word_grams import BASE, mixed
-from tillroll.llm.word_index import WordIndex
+from tillroll.llm.word_index import Patterns, WordIndex
 
 UNKNOWN = "und"
 MIN_COUNT = 100
@@ -125,8 +125,12 @@ def _word_hashes(lang: str, words: pa.Array) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w, seed) for w in words.cast(pa.binary()).to_pylist()], dtype=np.uint64)
 
 
-def _pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mixed(mixed(first) * np.uint64(BASE) + second)
+def _phrase_hashes(hashes: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
+    """Hashes of phrases given as one column of word numbers per place."""
+    found = hashes[columns[0]]
+    for words in columns[1:]:
+        found = mixed(mixed(found) * np.uint64(BASE) + hashes[words])
+    return found
 
 
 def _holds(field: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -152,19 +156,47 @@ def _closed_up(text: np.ndarray) -> np.ndarray:
     return text[(text > 0) | (np.concatenate([[0], text[:-1]]) > 0)]
 
 
-def _cut_text(row: dict, words: np.ndarray, pairs: np.ndarray | None):
-    """(text, hash of each word number) of a shard, with 0 in place of words and between pairs that cannot be frequent."""
-    names = pa.array(row["words"], pa.string())
-    hashes = np.concatenate([[np.uint64(0)], _word_hashes(row["lang"], names)])
-    allowed = np.concatenate([[False], _holds(words, hashes[1:])])
-    text = np.frombuffer(row["tokens"], np.int32).astype(np.int64)
-    text = _closed_up(np.where(allowed[text], text, 0))
-    if pairs is not None and len(text) > 1:
-        a, b = text[:-1], text[1:]
-        apart = (a > 0) & (b > 0)
-        apart[apart] = ~_holds(pairs, _pair_hashes(hashes[a[apart]], hashes[b[apart]]))
-        text = _closed_up(np.insert(text, np.flatnonzero(apart) + 1, 0))
-    return text, hashes, names
+def _kept_links(text: np.ndarray, hashes: np.ndarray, field: np.ndarray, length: int) -> np.ndarray:
+    """The text, cut between neighbours that no phrase of that length, as far as `field` knows, holds together."""
+    n = len(text) - length + 1
+    if n <= 0:
+        return np.zeros(0, text.dtype)
+    inside = np.ones(n, bool)
+    for i in range(length):
+        inside &= text[i : i + n] > 0
+    at = np.flatnonzero(inside)
+    at = at[_holds(field, _phrase_hashes(hashes, [text[at + i] for i in range(length)]))]
+    steps = np.zeros(len(text), np.int64)
+    np.add.at(steps, at, 1)
+    np.add.at(steps, at + length - 1, -1)
+    linked = np.cumsum(steps)[:-1] > 0
+    return _closed_up(np.insert(text, np.flatnonzero(~linked & (text[:-1] > 0) & (text[1:] > 0)) + 1, 0))
+
+
+class _Text:
+    """A shard's text with 0 in place of words, and between words, that cannot be part of a frequent phrase."""
+
+    def __init__(self, row: dict, fields: list[np.ndarray], cut_to: int) -> None:
+        self.names, self.fields = pa.array(row["words"], pa.string()), fields
+        self.hashes = np.concatenate([[np.uint64(0)], _word_hashes(row["lang"], self.names)])
+        allowed = np.concatenate([[False], _holds(fields[0], self.hashes[1:])])
+        text = np.frombuffer(row["tokens"], np.int32).astype(np.int64)
+        text = _closed_up(np.where(allowed[text], text, 0))
+        for length in range(2, cut_to + 1):
+            text = _kept_links(text, self.hashes, fields[length - 1], length)
+        self.text = text
+
+    def frequent(self, found: Patterns) -> np.ndarray:
+        columns = list(found.words.T)
+        return _holds(self.fields[len(columns) - 1], _phrase_hashes(self.hashes, columns))
+
+    def patterns(self, index: WordIndex, most: int) -> Iterator[Patterns]:
+        """Frequent patterns, length by length, growing on the right and the left in turn."""
+        found = index.single_words()
+        for length in range(2, most + 1):
+            found = index.extended(found, left=length % 2 == 1)
+            found = found.only(self.frequent(found))
+            yield found
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -173,35 +205,40 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: batch.column(name)[i].as_py() for name in ("lang", "words", "tokens")}
 
 
-def _pairs(words):
-    """Rows (h, n): hash and count of the pairs of words of each shard."""
+def _grams(fields: list, length: int):
+    """Rows (h, n): hash and count of the phrases of `length` words whose two shorter parts are frequent."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            text, hashes, names = _cut_text(row, words.value, None)
-            if not len(text):
+            shard = _Text(row, [f.value for f in fields], length - 1)
+            if not len(shard.text):
                 continue
-            index = WordIndex(text, len(names) + 1, 2)
-            found = index.extended(index.single_words(), left=False)
-            h = _pair_hashes(hashes[found.words[:, 0]], hashes[found.words[:, 1]])
+            index = WordIndex(shard.text, len(shard.names) + 1, length)
+            shorter = index.single_words()
+            for shorter in shard.patterns(index, length - 1):
+                pass
+            found = index.extended(shorter, left=False)
+            columns = list(found.words.T)
+            if length > 2:
+                tails = _holds(shard.fields[length - 2], _phrase_hashes(shard.hashes, columns[1:]))
+                found, columns = found.only(tails), [c[tails] for c in columns]
+            h = _phrase_hashes(shard.hashes, columns)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(found.count.astype(np.int32))], ["h", "n"])
 
     return scan
 
 
-def _phrases(words, pairs, max_words: int):
+def _phrases(fields: list, max_words: int):
     """PHRASES of each shard."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            text, _, names = _cut_text(row, words.value, pairs.value)
-            if not len(text):
+            shard = _Text(row, [f.value for f in fields], 2)
+            if not len(shard.text):
                 continue
-            names = pa.concat_arrays([pa.array([""], pa.string()), names])
-            index = WordIndex(text, len(names), max_words)
-            for length, found in enumerate(index.patterns(max_words), 1):
-                if length < 2 or not len(found):
-                    continue
+            names = pa.concat_arrays([pa.array([""], pa.string()), shard.names])
+            index = WordIndex(shard.text, len(names), max_words)
+            for length, found in enumerate(shard.patterns(index, max_words), 2):
                 # A longer phrase than the longest is no candidate, so its neighbours do not matter.
                 sides = [
                     index.only_neighbour(found, left) if length < max_words else np.zeros(len(found), np.int64)
@@ -241,11 +278,12 @@ def phrase_counts(
         listed.groupBy("lang", F.col("w.words").alias("phrase")).agg(F.sum("w.counts").alias("f")), "phrase-words"
     )
     frequent = words.filter(F.col("f") >= min_count).select(F.xxhash64("lang", "phrase").alias("h"))
-    word_field = context.broadcast(bit_field(frequent))
+    fields = [context.broadcast(bit_field(frequent))]
     texts = shards.select("lang", "words", "tokens")
-    pairs = texts.mapInArrow(_pairs(word_field), "h long, n int").groupBy("h").agg(F.sum("n").alias("n"))
-    pair_field = context.broadcast(bit_field(pairs.filter(F.col("n") >= min_count).select("h")))
-    found = texts.mapInArrow(_phrases(word_field, pair_field, max_words), PHRASES)
+    for length in range(2, max_words + 1):
+        grams = texts.mapInArrow(_grams(fields, length), "h long, n int").groupBy("h").agg(F.sum("n").alias("n"))
+        fields.append(context.broadcast(bit_field(grams.filter(F.col("n") >= min_count).select("h"))))
+    found = texts.mapInArrow(_phrases(fields, max_words), PHRASES)
 
     def always(side: str):
         return (F.min(side) == F.max(side)) & (F.min(side) != "")
@@ -253,7 +291,10 @@ def phrase_counts(
     summed = found.groupBy("lang", "phrase", "size").agg(
         F.sum("n").alias("a"), (always("left") | always("right")).alias("inner")
     )
-    return words, staged(summed.filter(F.col("a") >= min_count), "phrase-candidates")
+    candidates = staged(summed.filter(F.col("a") >= min_count), "phrase-candidates")
+    for field in fields:
+        field.unpersist()
+    return words, candidates
 
 
 def collocations(

@@ -55,7 +55,7 @@ class Direction:
 
 @dataclass
 class Patterns:
-    """Patterns of one length: interval of each in both directions, and the pattern each was grown from."""
+    """Patterns of one length and the interval of each in both directions."""
 
     words: np.ndarray  # (patterns, length)
     low: np.ndarray
@@ -65,6 +65,9 @@ class Patterns:
     def __len__(self) -> int:
         return len(self.count)
 
+    def only(self, kept: np.ndarray) -> Patterns:
+        return Patterns(self.words[kept], self.low[kept], self.mirror[kept], self.count[kept])
+
 
 class WordIndex:
     """Both directions over one text; it must end with 0."""
@@ -112,11 +115,3 @@ class WordIndex:
         alone = n == found.count[pattern]
         only[pattern[alone]] = symbol[alone]
         return only
-
-    def patterns(self, most: int):
-        """Patterns of 1 to `most` words, length by length, growing on the right and the left in turn."""
-        found = self.single_words()
-        yield found
-        for length in range(2, most + 1):
-            found = self.extended(found, left=length % 2 == 1)
-            yield found
