@@ -1,11 +1,13 @@
 """Exact copies, repeated runs of words, and near copies against plain versions."""
 
 import random
+import types
 
 import brute
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
 from tillroll.llm import count_tree, exact_dedup, jaccard_join, substring_dedup
 from tillroll.llm.components import components
@@ -40,11 +42,14 @@ def test_repeats_over_many_small_batches(spark, docs, messy):
 def found_ranges(rows, batch_rows=10_000):
     """(doc, word) at which a repeated window starts, by the steps of `repeated_ranges` in this process."""
     docs, texts = zip(*rows)
-    batch = pa.record_batch([pa.array(docs), pa.array([0] * len(rows), pa.int32()), pa.array(texts, pa.binary())], ["doc", "body", "bytes"])
-    met = pa.Table.from_batches(substring_dedup._occurrences(iter([batch]))).sort_by([("seed", "ascending"), ("doc", "ascending")])
+    batch = pa.record_batch([pa.array(docs), pa.array([0] * len(rows), pa.int64()), pa.array(texts, pa.binary())], ["doc", "body", "bytes"])
+    every_seed = types.SimpleNamespace(value=np.full(1 << 13, 255, np.uint8))
+    occurrences = substring_dedup._occurrences(every_seed)(iter([batch]))
+    met = pa.Table.from_batches(occurrences).sort_by([("seed", "ascending"), ("doc", "ascending")])
     found = set()
     for part in substring_dedup._extended(iter(met.to_batches(max_chunksize=batch_rows))):
-        for doc, _, start, covered in zip(*part.to_pydict().values()):
+        for doc, _, start, covered, earlier in zip(*part.to_pydict().values()):
+            assert earlier < doc
             found |= {(doc, start + i) for i in range(13) if covered >> i & 1}
     return found
 
@@ -67,6 +72,46 @@ def test_windows_that_agree_in_half_a_fingerprint(batch_rows, monkeypatch):
         assert found_ranges(rows, batch_rows) == {(i, 69 + k) for i in range(4, 40) if i % 7 == 3 for k in range(8)}
 
 
+@pytest.mark.parametrize("shared_id", [None, 7])
+def test_rows_of_one_id_whose_hashes_agree_in_half(spark, shared_id):
+    passage = " ".join(f"p{i}" for i in range(20))
+    clean = " ".join(f"c{i}" for i in range(20))
+    by_half = {xxhash.xxh64_intdigest(f"{passage} a{i}".encode(), 42) >> 32: i for i in range(200_000)}
+    found = ((by_half.get(xxhash.xxh64_intdigest(f"{clean} b{j}".encode(), 42) >> 32), j) for j in range(200_000))
+    i, j = next((i, j) for i, j in found if i is not None)
+    rows = [(1, passage), (shared_id, f"{passage} a{i}"), (shared_id, f"{clean} b{j}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring_dedup.remove_repeats(docs).drop("kept").collect()
+    assert brute.ordered(got) == brute.ordered(brute.repeats(rows)) and {r.n_removed for r in got} == {0, 20}
+
+
+def covered_spans(rows, least):
+    """(doc, start, length) of maximal runs of repeated windows, overlapping or touching."""
+    split = [(brute.LAST if d is None else d, brute.WORD.findall(t or "")) for d, t in rows]
+    first, out = {}, set()
+    for doc, words in split:
+        for i in range(len(words) - 12):
+            key = tuple(words[i : i + 13])
+            first[key] = min(first.get(key, doc), doc)
+    for doc, words in split:
+        spans = []
+        for i in range(len(words) - 12):
+            if first[tuple(words[i : i + 13])] < doc:
+                if spans and i <= spans[-1][1]:
+                    spans[-1][1] = i + 13
+                else:
+                    spans.append([i, i + 13])
+        out |= {(None if doc == brute.LAST else doc, a, b - a) for a, b in spans if b - a >= least}
+    return out
+
+
+@pytest.mark.parametrize("least", [13, 60])
+def test_spans(docs, messy, least):
+    got = substring_dedup.repeated_spans(docs, least=least).collect()
+    assert {(r.doc_id, r.start, r.length) for r in got} == covered_spans(messy, least) and got
+    assert all(r.earlier < (brute.LAST if r.doc_id is None else r.doc_id) for r in got)
+
+
 def test_equal_windows_pick_equal_seeds():
     rng = np.random.default_rng(1)
     run = rng.integers(0, 1 << 60, 13).astype(np.uint64)
@@ -137,3 +182,15 @@ def test_empty_tables(no_docs):
     assert exact_dedup.keep_first_copies(no_docs).count() == 0
     assert substring_dedup.remove_repeats(no_docs).count() == 0
     assert jaccard_join.join(no_docs).count() == 0
+
+
+def test_rows_that_differ_elsewhere_are_chosen_alike(spark):
+    """Of rows that share id and text, reruns keep the same one, however the table is dealt."""
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, s, None) for s in ("s1", "s2", "s3", None)] + [(2, "other " + text, "s1", s) for s in ("x", None, "y")]
+    for keep in (exact_dedup.keep_first_copies, jaccard_join.keep_one):
+        found = set()
+        for parts in (1, 2, 5):
+            docs = spark.createDataFrame(rows[::-1] if parts == 2 else rows, "doc_id long, text string, source string, lang string")
+            found.add(tuple(sorted(map(str, keep(docs.repartition(parts)).collect()))))
+        assert len(found) == 1

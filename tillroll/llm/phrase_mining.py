@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.llm.bit_fields import bit_field, holds
 from tillroll.llm.common import staged, text_or_empty
 from tillroll.llm.word_grams import BASE, mixed
 from tillroll.llm.word_index import Patterns, WordIndex
@@ -44,7 +45,6 @@ TOP = 2000
 SCORE_SCALE = 1000
 SHARD_WORDS = 1 << 20
 FILTER_BITS = 1 << 26
-CHUNK_BITS = 1 << 15  # bits per row of bitmap_construct_agg
 RANK_PARTS = 64
 JVM_SEED = 42  # seed of Spark's xxhash64
 
@@ -133,22 +133,6 @@ def _phrase_hashes(hashes: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
     return found
 
 
-def _holds(field: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes & np.uint64(FILTER_BITS - 1)
-    return field[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
-
-
-def bit_field(hashes: DataFrame) -> np.ndarray:
-    """The bits that the column `h` sets: FILTER_BITS / 8 bytes, whatever the number of rows."""
-    at = F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1))
-    chunk = F.call_function("div", at, F.lit(CHUNK_BITS).cast("long"))
-    rows = hashes.select(chunk.alias("chunk"), (at % CHUNK_BITS).alias("bit")).groupBy("chunk")
-    field = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in rows.agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
-        field[row.chunk * CHUNK_BITS // 8 : (row.chunk + 1) * CHUNK_BITS // 8] = np.frombuffer(row.bits, np.uint8)
-    return field
-
-
 def _closed_up(text: np.ndarray) -> np.ndarray:
     """Without words that stand alone, with one 0 after each run of words that is left."""
     gap = np.concatenate([[True], text == 0, [True]])
@@ -165,7 +149,7 @@ def _kept_links(text: np.ndarray, hashes: np.ndarray, field: np.ndarray, length:
     for i in range(length):
         inside &= text[i : i + n] > 0
     at = np.flatnonzero(inside)
-    at = at[_holds(field, _phrase_hashes(hashes, [text[at + i] for i in range(length)]))]
+    at = at[holds(field, _phrase_hashes(hashes, [text[at + i] for i in range(length)]))]
     steps = np.zeros(len(text), np.int64)
     np.add.at(steps, at, 1)
     np.add.at(steps, at + length - 1, -1)
@@ -179,7 +163,7 @@ class _Text:
     def __init__(self, row: dict, fields: list[np.ndarray], cut_to: int) -> None:
         self.names, self.fields = pa.array(row["words"], pa.string()), fields
         self.hashes = np.concatenate([[np.uint64(0)], _word_hashes(row["lang"], self.names)])
-        allowed = np.concatenate([[False], _holds(fields[0], self.hashes[1:])])
+        allowed = np.concatenate([[False], holds(fields[0], self.hashes[1:])])
         text = np.frombuffer(row["tokens"], np.int32).astype(np.int64)
         text = _closed_up(np.where(allowed[text], text, 0))
         for length in range(2, cut_to + 1):
@@ -188,7 +172,7 @@ class _Text:
 
     def frequent(self, found: Patterns) -> np.ndarray:
         columns = list(found.words.T)
-        return _holds(self.fields[len(columns) - 1], _phrase_hashes(self.hashes, columns))
+        return holds(self.fields[len(columns) - 1], _phrase_hashes(self.hashes, columns))
 
     def patterns(self, index: WordIndex, most: int) -> Iterator[Patterns]:
         """Frequent patterns, length by length, growing on the right and the left in turn."""
@@ -220,7 +204,7 @@ def _grams(fields: list, length: int):
             found = index.extended(shorter, left=False)
             columns = list(found.words.T)
             if length > 2:
-                tails = _holds(shard.fields[length - 2], _phrase_hashes(shard.hashes, columns[1:]))
+                tails = holds(shard.fields[length - 2], _phrase_hashes(shard.hashes, columns[1:]))
                 found, columns = found.only(tails), [c[tails] for c in columns]
             h = _phrase_hashes(shard.hashes, columns)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(found.count.astype(np.int32))], ["h", "n"])
@@ -278,11 +262,11 @@ def phrase_counts(
         listed.groupBy("lang", F.col("w.words").alias("phrase")).agg(F.sum("w.counts").alias("f")), "phrase-words"
     )
     frequent = words.filter(F.col("f") >= min_count).select(F.xxhash64("lang", "phrase").alias("h"))
-    fields = [context.broadcast(bit_field(frequent))]
+    fields = [context.broadcast(bit_field(frequent, FILTER_BITS))]
     texts = shards.select("lang", "words", "tokens")
     for length in range(2, max_words + 1):
         grams = texts.mapInArrow(_grams(fields, length), "h long, n int").groupBy("h").agg(F.sum("n").alias("n"))
-        fields.append(context.broadcast(bit_field(grams.filter(F.col("n") >= min_count).select("h"))))
+        fields.append(context.broadcast(bit_field(grams.filter(F.col("n") >= min_count).select("h"), FILTER_BITS)))
     found = texts.mapInArrow(_phrases(fields, max_words), PHRASES)
 
     def always(side: str):

@@ -7,13 +7,16 @@ sides: an occurrence carries a fingerprint of each window around its seed, and i
 stand at the same offsets around the seed in an earlier document. The extents that reach the threshold, put together,
 are the maximal repeats; they go back to the document as ranges of words.
 
-Scale: only fingerprints are joined, one row per seed occurrence (about 0.18 per word). Inside each block of a task,
-occurrences whose whole surroundings were already met in a smaller document are settled before the shuffle, so a passage
-that a third of all documents share arrives as a few rows per block. Equality of extents is judged on the 64-bit seed
-hash plus 64 bits per window, between occurrences of the same seed only.
+Scale: only fingerprints are joined. A first pass reduces each seed to the smallest and the largest document that picked
+it, and a field of `FIELD_BITS` bits notes the seeds that two documents share; only their occurrences carry fingerprints to the
+join (hashes that share a bit let a few more through). Inside each block of a task, occurrences whose whole surroundings
+were already met in a smaller document are settled before the shuffle, so a passage that a third of all documents share
+arrives as a few rows per block. Equality of extents is judged on the 64-bit seed hash plus 64 bits per window, between
+occurrences of the same seed only.
 
 Defined cases: a null or short text loses nothing; a null id counts as larger than any other; rows that share an id do
-not clear each other; repeated rows get equal results; an empty table gives an empty result; further columns are ignored.
+not clear each other and are told apart by 64 bits of their text; repeated rows get equal results; an empty table gives
+an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.bit_fields import bit_field, holds
 from tillroll.llm.word_grams import WordHashes, gram_hashes, hashed_words, mixed
 
 WINDOW = 13
@@ -34,14 +38,16 @@ SEED_WORDS = 4
 BLOCK_BYTES = 4 << 20
 LAST_ID = (1 << 63) - 1
 
-# `place` packs, from the top: 32 bits of the text's hash, 27 of the first word, 4 of the lead, 1 for settled.
-# A settled row has no prints, and its number of windows in place of the lead.
-OCCURRENCES = "seed long, doc long, place long, prints binary"
-RANGES = "doc long, body int, start int, covered int"
+FIELD_BITS = 1 << 28
 
+# `place` packs, from the top: 27 bits of the first word, 4 of the lead, 1 for settled.
+# A settled row has no prints but the id of an earlier document, and its number of windows in place of the lead.
+OCCURRENCES = "seed long, doc long, body long, place int, prints binary"
+RANGES = "doc long, body long, start int, covered int, earlier long"
 
-def seeds(words: np.ndarray, ends: np.ndarray, window: int = WINDOW, seed_words: int = SEED_WORDS):
-    """Seed occurrences of a block of texts: (text, start, lead, count, seed, prints).
+
+def seeds(words: np.ndarray, ends: np.ndarray, window: int = WINDOW, seed_words: int = SEED_WORDS, with_prints: bool = True):
+    """Seed occurrences of a block of texts: (text, start, lead, count, seed, prints); prints are left out on request.
 
     An occurrence stands for `count` consecutive windows from word `start` of its text on, which all picked the same seed;
     the seed stands `lead` words after the start of the first. `prints` holds one 64-bit fingerprint per window, in order.
@@ -62,7 +68,7 @@ def seeds(words: np.ndarray, ends: np.ndarray, window: int = WINDOW, seed_words:
         reach += shift
     places = np.flatnonzero(inside)
     at, text = at[:n][places], text[places]
-    prints = gram_hashes(words, window)[places]
+    prints = gram_hashes(words, window)[places] if with_prints else None
     first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (text[1:] != text[:-1])])) if len(at) else np.zeros(0, np.int64)
     count = np.diff(np.concatenate([first, [len(at)]])).astype(np.int64)
     begin = ends - lengths
@@ -76,10 +82,10 @@ def seeds(words: np.ndarray, ends: np.ndarray, window: int = WINDOW, seed_words:
     )
 
 
-def _settled(seed: np.ndarray, lead: np.ndarray, count: np.ndarray, prints: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Occurrences whose seed, lead and fingerprints all stand in the same block under a smaller id."""
+def _settled(seed: np.ndarray, lead: np.ndarray, count: np.ndarray, prints: np.ndarray, doc: np.ndarray):
+    """Occurrences whose seed, lead and fingerprints all stand in the same block under a smaller id, and the smallest."""
     if not len(seed):
-        return np.zeros(0, bool)
+        return np.zeros(0, bool), np.zeros(0, np.int64)
     weights = mixed(np.arange(1, 65, dtype=np.uint64))
     inner = np.arange(len(prints)) - np.repeat(np.cumsum(count) - count, count)
     whole = np.add.reduceat(mixed(prints + weights[inner]), np.cumsum(count) - count)
@@ -87,47 +93,87 @@ def _settled(seed: np.ndarray, lead: np.ndarray, count: np.ndarray, prints: np.n
     order = np.lexsort((doc, key))
     fresh = np.concatenate([[True], key[order][1:] != key[order][:-1]])
     smallest = doc[order][np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
-    settled = np.zeros(len(seed), bool)
-    settled[order] = doc[order] > smallest
-    return settled
+    settled, earlier = np.zeros(len(seed), bool), np.zeros(len(seed), np.int64)
+    settled[order], earlier[order] = doc[order] > smallest, smallest
+    return settled, earlier
+
+
+def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts of a batch in blocks of bounded size."""
+    low = 0
+    while low < batch.num_rows:
+        texts, size = [], 0
+        while low + len(texts) < batch.num_rows and (size < BLOCK_BYTES or not texts):
+            texts.append(batch.column(column)[low + len(texts)].as_py())
+            size += len(texts[-1])
+        yield low, texts
+        low += len(texts)
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _seed_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(seed, low, high): the smallest and the largest document of each block that picked a seed."""
     hashes = WordHashes()
     for batch in batches:
-        docs, bodies, low = batch.column(0).to_numpy(), batch.column(1).to_numpy(), 0
-        while low < batch.num_rows:
-            texts, size = [], 0
-            while low + len(texts) < batch.num_rows and (size < BLOCK_BYTES or not texts):
-                texts.append(batch.column(2)[low + len(texts)].as_py())
-                size += len(texts[-1])
+        docs = batch.column(0).to_numpy()
+        for at, texts in _blocks(batch, 1):
             words, ends = hashed_words(texts, hashes)
-            text, start, lead, count, seed, prints = seeds(words, ends)
-            doc, body = docs[low : low + len(texts)][text], bodies[low : low + len(texts)][text]
-            settled = _settled(seed, lead, count, prints, doc)
-            # Settled rows only pass through; a spread key keeps them off the partitions of frequent seeds.
-            seed = np.where(settled, mixed(seed.view(np.uint64) + doc.view(np.uint64)).view(np.int64), seed)
-            prints = np.ascontiguousarray(prints[np.repeat(~settled, count)])
-            offsets = np.concatenate([[0], np.cumsum(np.where(settled, 0, count)) * 8]).astype(np.int32)
-            binary = pa.BinaryArray.from_buffers(pa.binary(), len(count), [None, pa.py_buffer(offsets), pa.py_buffer(prints)])
-            lead = np.where(settled, count, lead)
-            place = body.astype(np.int64) << 32 | start.astype(np.int64) << 5 | lead.astype(np.int64) << 1 | settled
-            columns = [pa.array(seed), pa.array(doc), pa.array(place), binary]
-            yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in OCCURRENCES.split(", ")])
-            low += len(texts)
-
-
-def extend(seed, doc, lead, count, prints) -> np.ndarray:
-    """Bit i of the result: window i of an occurrence also stands around the same seed under a smaller id.
+            text, _, _, _, seed, _ = seeds(words, ends, with_prints=False)
+            if not len(seed):
+                continue
+            doc = docs[at : at + len(texts)][text]
+            order = np.lexsort((doc, seed))
+            seed, doc = seed[order], doc[order]
+            first = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
+            last = np.append(first[1:], len(seed)) - 1
+            columns = [pa.array(seed[first]), pa.array(doc[first]), pa.array(doc[last])]
+            yield pa.RecordBatch.from_arrays(columns, ["seed", "low", "high"])
+
+
+def _occurrences(field):
+    """OCCURRENCES of the seeds that `field` may hold."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            docs, bodies = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for low, texts in _blocks(batch, 2):
+                words, ends = hashed_words(texts, hashes)
+                text, start, lead, count, seed, prints = seeds(words, ends)
+                doc, body = docs[low : low + len(texts)][text], bodies[low : low + len(texts)][text]
+                shared = holds(field.value, seed.view(np.uint64))
+                prints = prints[np.repeat(shared, count)]
+                doc, body, start, lead, count, seed = (x[shared] for x in (doc, body, start, lead, count, seed))
+                settled, earlier = _settled(seed, lead, count, prints, doc)
+                # Settled rows only pass through; a spread key keeps them off the partitions of frequent seeds.
+                seed = np.where(settled, mixed(seed.view(np.uint64) + doc.view(np.uint64)).view(np.int64), seed)
+                sizes = np.where(settled, 1, count)
+                ends8 = np.cumsum(sizes) * 8
+                bytes_ = np.empty(int(sizes.sum()), np.uint64)
+                open_places = np.repeat(~settled, sizes)
+                bytes_[open_places] = prints[np.repeat(~settled, count)]
+                bytes_[~open_places] = earlier[settled].view(np.uint64)
+                offsets = np.concatenate([[0], ends8]).astype(np.int32)
+                binary = pa.BinaryArray.from_buffers(pa.binary(), len(count), [None, pa.py_buffer(offsets), pa.py_buffer(bytes_)])
+                lead = np.where(settled, count, lead)
+                place = (start.astype(np.int64) << 5 | lead.astype(np.int64) << 1 | settled).astype(np.uint32).view(np.int32)
+                columns = [pa.array(seed), pa.array(doc), pa.array(body), pa.array(place), binary]
+                yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in OCCURRENCES.split(", ")])
+
+    return scan
+
+
+def extend(seed, doc, lead, count, prints) -> tuple[np.ndarray, np.ndarray]:
+    """Bit i of the first result: window i of an occurrence also stands around the same seed under a smaller id. The second
+    result is the smallest such id.
 
     Rows come sorted by (seed, doc), so the first row of a run of equal (seed, offset, fingerprint) has the smallest id.
     """
     new = np.concatenate([[True], seed[1:] != seed[:-1]])
     group = np.cumsum(new) - 1
     shared = np.flatnonzero(np.bincount(group)[group] > 1)
-    covered = np.zeros(len(seed), np.int32)
+    covered, earlier = np.zeros(len(seed), np.int32), np.full(len(seed), LAST_ID)
     if not len(shared):
-        return covered
+        return covered, earlier
     starts = (np.cumsum(count) - count)[shared]
     count = count[shared]
     row = np.repeat(np.arange(len(shared)), count)
@@ -140,7 +186,8 @@ def extend(seed, doc, lead, count, prints) -> np.ndarray:
     smallest = owner[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
     hit = order[owner > smallest]
     covered[shared] = np.bincount(row[hit], weights=1 << inner[hit], minlength=len(shared)).astype(np.int32)
-    return covered
+    np.minimum.at(earlier, shared[row[hit]], smallest[owner > smallest])
+    return covered, earlier
 
 
 def _fresh(near: np.ndarray, mark: np.ndarray) -> np.ndarray:
@@ -157,15 +204,17 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ahead = (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)
     for batch in batches:
         table = pa.Table.from_batches([batch])
-        doc, place = table["doc"].to_numpy(), table["place"].to_numpy()
-        settled, body, start = (place & 1).astype(bool), place >> 32, place >> 5 & (1 << 27) - 1
+        doc, body = table["doc"].to_numpy(), table["body"].to_numpy()
+        place = table["place"].to_numpy().view(np.uint32).astype(np.int64)
+        settled, start = (place & 1).astype(bool), place >> 5
         if settled.any():
-            yield _ranges(doc[settled], body[settled], start[settled], (1 << (place[settled] >> 1 & 15)) - 1)
+            known = np.frombuffer(b"".join(table["prints"].filter(pa.array(settled)).to_pylist()), dtype=np.int64)
+            yield _ranges(doc[settled], body[settled], start[settled], (1 << (place[settled] >> 1 & 15)) - 1, known)
         open_rows = ~settled
         if not open_rows.any():
             continue
         count = pa.compute.binary_length(table["prints"]).to_numpy()[open_rows].astype(np.int64) // 8
-        prints = np.frombuffer(b"".join(table["prints"].to_pylist()), dtype=np.uint64)
+        prints = np.frombuffer(b"".join(table["prints"].filter(pa.array(open_rows)).to_pylist()), dtype=np.uint64)
         doc, body, start = doc[open_rows], body[open_rows], start[open_rows]
         seed, lead = table["seed"].to_numpy()[open_rows], (place >> 1 & 15)[open_rows]
         if len(ahead[0]) and ahead[0][0] != seed[0]:
@@ -174,9 +223,9 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seed, all_docs, lead, counts, prints = (
             np.concatenate([x, y]) for x, y in zip(ahead, (seed, doc, lead, count, prints))
         )
-        covered = extend(seed, all_docs, lead, counts, prints)[n:]
+        covered, earlier = (x[n:] for x in extend(seed, all_docs, lead, counts, prints))
         found = np.flatnonzero(covered)
-        yield _ranges(doc[found], body[found], start[found], covered[found])
+        yield _ranges(doc[found], body[found], start[found], covered[found], earlier[found])
         first = int(np.searchsorted(seed == seed[-1], True))
         ahead = _distinct(seed[first:], all_docs[first:], lead[first:], counts[first:], prints[counts[:first].sum() :])
 
@@ -191,9 +240,9 @@ def _distinct(seed, doc, lead, count, prints):
     return seed[row[first]], doc[row[first]], offset[first], np.ones(len(first), np.int64), prints[first]
 
 
-def _ranges(doc: np.ndarray, body: np.ndarray, start: np.ndarray, covered: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array(doc), *(pa.array(x.astype(np.int32)) for x in (body, start, covered))]
-    return pa.RecordBatch.from_arrays(columns, ["doc", "body", "start", "covered"])
+def _ranges(doc: np.ndarray, body: np.ndarray, start: np.ndarray, covered: np.ndarray, earlier: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(doc), pa.array(body), *(pa.array(x.astype(np.int32)) for x in (start, covered)), pa.array(earlier)]
+    return pa.RecordBatch.from_arrays(columns, ["doc", "body", "start", "covered", "earlier"])
 
 
 def removed_mask(n_words: int, starts: np.ndarray, covered: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -231,20 +280,69 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """RANGES: windows, as bits from word `start` on, that a document with a smaller id also holds."""
+    """RANGES: windows, as bits from word `start` on, that a document with a smaller id also holds, and the smallest of
+    the documents in which their occurrences were met."""
     keyed = _keyed(docs, id_col, text_col).select("doc", "body", "bytes").filter(F.length("bytes") >= 2 * WINDOW - 1)
-    found = keyed.mapInArrow(_occurrences, OCCURRENCES)
+    listed = keyed.select("doc", "bytes").mapInArrow(_seed_documents, "seed long, low long, high long")
+    spread = listed.groupBy(F.col("seed").alias("h")).agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    field = docs.sparkSession.sparkContext.broadcast(bit_field(spread.filter("low < high").select("h"), FIELD_BITS))
+    found = keyed.mapInArrow(_occurrences(field), OCCURRENCES)
     met = found.repartition("seed").sortWithinPartitions("seed", "doc")
     return met.mapInArrow(_extended, RANGES)
 
 
+def _spans(least: int):
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, starts, lengths, earliest = [], [], [], []
+            for i, ranges in enumerate(batch.column(2)):
+                pairs = ranges.values
+                start, covered, earlier = (pairs.field(k).to_numpy() for k in range(3))
+                places = [start[covered >> k & 1 == 1] + k for k in range(WINDOW - SEED_WORDS + 1)]
+                from_ = [earlier[covered >> k & 1 == 1] for k in range(WINDOW - SEED_WORDS + 1)]
+                windows, owners = np.concatenate(places), np.concatenate(from_)
+                order = np.argsort(windows, kind="stable")
+                windows, owners = windows[order], owners[order]
+                # Windows whose words overlap or touch make one span.
+                new = np.flatnonzero(np.concatenate([[True], windows[1:] > windows[:-1] + WINDOW]))
+                last = np.append(new[1:], len(windows)) - 1
+                length = windows[last] + WINDOW - windows[new]
+                smallest = np.minimum.reduceat(owners, new)
+                for a, n, e in zip(windows[new], length, smallest):
+                    if n >= least:
+                        rows.append(i)
+                        starts.append(a)
+                        lengths.append(n)
+                        earliest.append(e)
+            at = pa.array(rows, pa.int64())
+            columns = [batch.column(0).take(at), batch.column(1).take(at)]
+            columns += [pa.array(starts, pa.int32()), pa.array(lengths, pa.int32()), pa.array(earliest, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "body", "start", "length", "earlier"])
+
+    return scan
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = WINDOW) -> DataFrame:
+    """Maximal runs of repeated words: (id, body, start, length, earlier).
+
+    A span joins all repeated windows that overlap or touch; spans under `least` words are left out. `body` is Spark's
+    xxhash64 of the text, which tells rows of one id apart; `earlier` is the smallest id among the documents met.
+    """
+    ranges = repeated_ranges(docs, id_col, text_col)
+    per_row = ranges.groupBy("doc", "body").agg(F.collect_list(F.struct("start", "covered", "earlier")).alias("ranges"))
+    spans = per_row.mapInArrow(_spans(least), "doc long, body long, start int, length int, earlier long")
+    return spans.distinct().select(
+        F.when(F.col("doc") != LAST_ID, F.col("doc")).alias(id_col), "body", "start", "length", "earlier"
+    )
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """A row is known by its id and a hash of its text: rows that agree in both have equal results anyway."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
         F.col(id_col).alias("id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"),
-        F.shiftright(F.xxhash64(text), 32).cast("int").alias("body"),
+        F.xxhash64(text).alias("body"),
         text.cast("binary").alias("bytes"),
     )
 
