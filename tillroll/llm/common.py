@@ -30,6 +30,16 @@ def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def first_of(packed: DataFrame, *keys: str) -> DataFrame:
+    """One row for each value of `keys` of (keys, whole): the one whose struct `whole` hashes lowest, so that reruns agree.
+
+    Rows of equal hash are equal in all columns, but for collisions of 64 bits among rows that share the keys.
+    """
+    parts = packed.schema["whole"].dataType.names
+    own = F.xxhash64(*[x for c in parts for x in (F.col(f"whole.`{c}`"), F.col(f"whole.`{c}`").isNull())])
+    return packed.groupBy(*keys).agg(F.min_by("whole", own).alias("whole"))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

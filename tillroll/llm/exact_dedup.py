@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import SPACE, staged, text_or_empty
+from tillroll.llm.common import SPACE, first_of, staged, text_or_empty
 
 PREFIX_CHARS = 256
 
@@ -79,7 +79,8 @@ def decisions(
 def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, all columns as they are.
 
-    The texts are shuffled once, by a key that is unique up to repeated rows, so copies of one text spread evenly.
+    The texts are shuffled once, by a key that is unique up to repeated rows, so copies of one text spread evenly. Rows
+    that share id and text but differ elsewhere become the one whose columns hash lowest.
     """
     key = F.concat_ws("|", F.col("digest"), F.coalesce(F.col("row_id").cast("string"), F.lit("null")))
     kept = (
@@ -93,5 +94,4 @@ def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.col(id_col).alias("row_id"),
         F.sha2(normalised(F.col(text_col)), 256).alias("digest"),
     ).select("whole", key.alias("copy_key"))
-    rows = packed.join(kept, ["copy_key"], "left_semi").dropDuplicates(["copy_key"])
-    return rows.select("whole.*")
+    return first_of(packed.join(kept, ["copy_key"], "left_semi"), "copy_key").select("whole.*")

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import staged
+from tillroll.llm.common import first_of, staged
 from tillroll.llm.components import components
 from tillroll.llm.count_tree import CountTree, can_overlap, sizes_fit
 from tillroll.llm.word_grams import WordHashes, gram_hashes, hashed_words, mixed
@@ -337,9 +337,15 @@ def _open_pairs(live: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFr
         "token", "sid", "n", F.coalesce("root", "sid").alias("comp")
     )
     spread = labelled.groupBy("token").agg(
-        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("rows")
+        F.min("comp").alias("low"),
+        F.max("comp").alias("high"),
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.xxhash64("sid").cast("decimal(20,0)")).alias("print_a"),
+        F.sum(F.xxhash64("sid", F.lit(SEED)).cast("decimal(20,0)")).alias("print_b"),
     )
-    still = spread.filter("low <> high").select("token", F.ceil(F.col("rows") / PART_ROWS).cast("int").alias("parts"))
+    # A passage that several documents share makes one block for each of its shingles, all with the same members.
+    same = spread.filter("low <> high").groupBy("rows", "print_a", "print_b").agg(F.min("token").alias("token"))
+    still = same.select("token", F.ceil(F.col("rows") / PART_ROWS).cast("int").alias("parts"))
     rows = labelled.join(still, "token").withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
     cut = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "token",
@@ -392,7 +398,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` without those linked to a kept one: of each component the smallest id stays.
 
-    Rows without words all stay; rows that repeat both id and text become one.
+    Rows without words all stay; rows that repeat both id and text become one, chosen by a hash of all columns.
     """
     linked = _linked(docs, id_col, text_col)
     first = linked.filter("n > 0 AND doc = component").groupBy("root").agg(F.min(F.struct("doc", "body")).alias("kept"))
@@ -403,8 +409,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.coalesce(F.col(f"whole.`{id_col}`").cast("long"), F.lit(LAST_ID)).alias("doc"),
         F.xxhash64(text).alias("body"),
     )
-    rows = packed.join(kept, ["doc", "body"], "left_semi").dropDuplicates(["doc", "body"])
-    return rows.select("whole.*")
+    return first_of(packed.join(kept, ["doc", "body"], "left_semi"), "doc", "body").select("whole.*")
 
 
 def labelled(sets: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:

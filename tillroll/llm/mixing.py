@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import WORD, staged, text_or_empty
+from tillroll.llm.common import WORD, first_of, staged, text_or_empty
 
 BUCKET_ROWS = 256
 DP_WORDS = 1 << 16
@@ -181,7 +181,7 @@ def mixed_rows(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
 ) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it. Rows that agree in id, source and text count as one row,
-    which then stands for what the mix takes of all of them."""
+    the one whose columns hash lowest, which then stands for what the mix takes of all of them."""
     counts = mix(docs, id_col, text_col, source_col, **options).groupBy(
         F.xxhash64(F.col(id_col).cast("string"), F.col(source_col).isNull(), source_col).alias("named"), "body"
     )
@@ -193,5 +193,5 @@ def mixed_rows(
         F.xxhash64(F.col(id_col).cast("string"), source.isNull(), source).alias("named"),
         F.xxhash64(text_or_empty(F.col(text_col))).alias("body"),
     )
-    rows = packed.join(taken, ["named", "body"]).dropDuplicates(["named", "body"])
+    rows = first_of(packed.join(taken, ["named", "body"]), "named", "body", "repeats")
     return rows.select("whole", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats")))).select("whole.*")
