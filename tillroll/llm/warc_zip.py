@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import scratch, staged
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+READ_TASKS = 10_000  # tasks that read; with more packages each reads several
 PACKAGE_BYTES = 32 << 20
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -258,7 +259,9 @@ def read_packages(packages: DataFrame, payloads: bool = True) -> DataFrame:
                         rows, held = [], 0
         yield pa.RecordBatch.from_pylist(rows, schema=ARROW_RECORDS)
 
-    return packages.select("package").repartition("package").mapInArrow(read, RECORD_SCHEMA)
+    # A stated number of partitions is not merged again, so packages are read side by side.
+    tasks = max(1, min(packages.count(), READ_TASKS))
+    return packages.select("package").repartition(tasks).mapInArrow(read, RECORD_SCHEMA)
 
 
 ARROW_RECORDS = pa.schema(
