@@ -6,7 +6,7 @@ distinct)), and the next shorter context is asked, down to eight bits for a byte
 exclusion). The code length of a text is the exact sum over all its bytes; the language with the shortest code wins, and
 its posterior under equal priors is the score.
 
-Training: at most about `SAMPLE_DOCS` labelled rows per language, taken by a hash of the id, each whole. The counts are
+Training: at most about `SAMPLE_DOCS` labelled rows per language, taken by a hash of id and text, each whole. The counts are
 made in the tasks and summed by Spark; what reaches the driver is bounded by that sample, not by the corpus. Costs are
 worked out once for every (context, byte, language), bytes that training never saw share one class, and a text is scored
 by following one automaton over the contexts of all languages, in slices of bounded size.
@@ -22,7 +22,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,7 +88,7 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, gram, n) of one task: gram packs MAX_ORDER context bytes and the byte itself."""
     for batch in batches:
         langs, bodies = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        by_lang: dict[str, list[bytes]] = {}
+        by_lang: dict[int, list[bytes]] = {}
         for lang, body in zip(langs, bodies):
             by_lang.setdefault(lang, []).append(body)
         for lang, texts in by_lang.items():
@@ -101,7 +100,7 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     grams.append(sum(data[k : k + n] << (8 * (MAX_ORDER - k)) for k in range(MAX_ORDER + 1)))
                 values, counts = np.unique(np.concatenate(grams), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(values), pa.string()), pa.array(values), pa.array(counts.astype(np.int64))],
+                    [pa.array(np.full(len(values), lang, np.int32)), pa.array(values), pa.array(counts.astype(np.int64))],
                     ["lang", "gram", "n"],
                 )
 
@@ -118,34 +117,36 @@ def train(
         F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")
     ).filter(F.col("lang").isNotNull() & learnable(F.col("id")) & F.col("text").isNotNull())
     rows = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    languages = sorted(rows)
     if not rows:
-        return build_model(pd.DataFrame({"lang": [], "gram": [], "n": []}))
+        return build_model([], *(np.zeros(0, np.int64) for _ in range(3)))
     share = F.create_map(*[F.lit(x) for lang, n in rows.items() for x in (lang, min(1.0, sample_docs / n))])
-    draw = F.pmod(F.xxhash64(F.lit(SEED), F.col("id")), F.lit(1 << 30)) / float(1 << 30)
-    sample = labelled.filter(draw < share[F.col("lang")]).select("lang", F.col("text").cast("binary").alias("body"))
-    counts = sample.mapInArrow(_gram_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    return build_model(counts.toPandas())
-
-
-def build_model(counts: pd.DataFrame, order: int = MAX_ORDER) -> Model:
-    """The automaton and its costs from (lang, gram, n)."""
-    languages = sorted(counts["lang"].unique())
-    grams = counts["gram"].to_numpy(np.int64)
-    lang_of = np.searchsorted(np.array(languages, dtype=object), counts["lang"].to_numpy(object)) if languages else np.zeros(0, int)
-    weights = counts["n"].to_numpy(np.float64)
-    bytes_of = np.stack([(grams >> (8 * (order - k))) & 255 for k in range(order + 1)], axis=1).astype(np.int64)
+    code = F.create_map(*[F.lit(x) for i, lang in enumerate(languages) for x in (lang, i)])
+    draw = F.pmod(F.xxhash64(F.lit(SEED), F.col("id"), F.col("text")), F.lit(1 << 30)) / float(1 << 30)
+    sample = labelled.filter(draw < share[F.col("lang")])
+    bodies = sample.select(code[F.col("lang")].alias("lang"), F.col("text").cast("binary").alias("body"))
+    summed = bodies.mapInArrow(_gram_counts, "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    # One row per byte context of the sample, as columns; the text of a language name never travels.
+    counts = summed.toArrow()
+    return build_model(languages, *(counts[c].to_numpy() for c in ("lang", "gram", "n")))
+
+
+def build_model(languages: list[str], lang_of: np.ndarray, grams: np.ndarray, counts: np.ndarray, order: int = MAX_ORDER) -> Model:
+    """The automaton and its costs from columns (number of the language, gram, count)."""
+    weights = counts.astype(np.float64)
+    bytes_of = np.stack([(grams >> (8 * (order - k))) & 255 for k in range(order + 1)], axis=1).astype(np.uint8)
     symbol = np.zeros(256, dtype=np.uint8)
     present = np.unique(np.append(bytes_of, 0))[:255]
     symbol[present] = np.arange(1, len(present) + 1)
     classes = len(present) + 1
-    coded = symbol[bytes_of].astype(np.int64)
+    coded = symbol[bytes_of]
 
     # Contexts of each length as packed classes; ids grow with the length, the empty context is 0.
     keys, ids, base = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)], 1
     packed = np.zeros(len(grams), np.int64)
     context = [packed]
     for k in range(1, order + 1):
-        packed = sum((coded[:, order - j] * classes ** (j - 1) for j in range(1, k + 1)), np.zeros(len(grams), np.int64))
+        packed = sum((coded[:, order - j].astype(np.int64) * classes ** (j - 1) for j in range(1, k + 1)), np.zeros(len(grams), np.int64))
         context.append(packed)
         keys.append(np.unique(packed))
         ids.append(base + np.arange(len(keys[-1])))
@@ -160,7 +161,7 @@ def build_model(counts: pd.DataFrame, order: int = MAX_ORDER) -> Model:
         return np.where(known, ids[k][at] if len(keys[k]) else 0, find(k - 1, wanted % classes ** (k - 1)))
 
     step = np.zeros((base, classes), dtype=np.int32)
-    cost = np.full((base, classes, max(1, len(languages))), 8.0)
+    cost = np.full((base, classes, max(1, len(languages))), 8.0, dtype=np.float32)
     every = np.arange(classes)
     for k in range(order + 1):
         if not len(keys[k]):
@@ -182,8 +183,7 @@ def build_model(counts: pd.DataFrame, order: int = MAX_ORDER) -> Model:
             escape = -np.log2(distinct / (total + distinct))
             shorter = cost[ids[k][seen], :, lang]
             cost[ids[k][seen], :, lang] = np.where(tally > 0, coded_bits, escape + shorter)
-    flat = cost.reshape(base * classes, -1).astype(np.float32)
-    return Model(list(languages), order, symbol, step, flat)
+    return Model(list(languages), order, symbol, step, cost.reshape(base * classes, -1))
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
