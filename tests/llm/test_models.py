@@ -45,7 +45,8 @@ def test_code_lengths_are_exact(monkeypatch):
                 for k in range(4):
                     tables[lang][k][data[i - k : i]][data[i]] += 1
     counts = pd.DataFrame(rows, columns=["lang", "gram", "n"]).groupby(["lang", "gram"], as_index=False).sum()
-    model = ppm_language.build_model(counts)
+    codes = counts["lang"].map({"a": 0, "b": 1}).to_numpy(np.int32)
+    model = ppm_language.build_model(["a", "b"], codes, counts["gram"].to_numpy(np.int64), counts["n"].to_numpy(np.int64))
     asked = [b"", b"banana", b"\xff\x00\x01 zebra", "Bäume und Größe ".encode() * 9, b"a", b"der Hut" * 20]
     wanted = [[plain_bits(tables[lang], t) for lang in ("a", "b")] for t in asked]
     assert np.allclose(model.bits(asked), wanted, rtol=1e-5)
@@ -175,3 +176,29 @@ def test_html_learns_from_the_few_pages_that_name_their_article(spark):
     assert html_extract.extract_texts([named[0][1]], trees) == [f"{words}."]
     with pytest.raises(ValueError, match="nothing to learn"):
         html_extract.train(pages.filter("page_id < 1000"))
+
+
+def test_html_draw_does_not_hang_on_the_id(spark):
+    """Pages without an id, or all with one, teach as any others do; pages that repeat count once."""
+    page = "<html><body><div class=nav><a>home</a></div><article><p>{0}, and a sentence about it.</p></article></body></html>"
+    wanted = [f"story {i}, and a sentence about it." for i in range(300)]
+    for one_id in (None, 7):
+        rows = [(one_id, page.format(f"story {i}")) for i in range(300)] + [(one_id, page.format("story 0"))] * 50
+        pages = spark.createDataFrame(rows, "page_id long, html string")
+        got = [r.text for r in html_extract.extract(pages, html_extract.train(pages, sample_pages=60)).collect()]
+        assert sorted(got) == sorted(wanted + wanted[:1] * 50)
+
+
+def test_features_count_all_siblings():
+    """A node among 100 of its tag differs from one among 64 in more than the number of siblings."""
+    odds = html_extract.name_odds([])
+    many, few = (html_extract.node_features(parse(f"<body>{'<i>x</i>' * n}{'<b>y</b>' * (200 - n)}</body>"), odds) for n in (100, 64))
+    assert (many[2] != few[2]).any()
+
+
+def test_labels_that_repeat_an_id_stay_bounded(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_DOCS", 50)
+    docs = spark.createDataFrame([(2, "you idiot" if i % 2 else "fine words") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(2, i % 2) for i in range(400)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, sample_docs=50)
+    assert toxicity.score(docs, model).count() == 400

@@ -24,6 +24,7 @@ import pickle
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,6 +37,7 @@ from pyspark.sql import types as T
 from tillroll.llm.dom import ATTRIBUTE, Page, parse
 
 SAMPLE_PAGES = 240
+SAMPLE_BOUND = 4  # times SAMPLE_PAGES, whatever the draw gives
 NAMING = "(?i)<(article|main)"
 LAYOUTS = 12
 TREES, DEPTH, RATE, LAMBDA = 100, 5, 0.2, 1.0
@@ -112,12 +114,16 @@ def node_features(page: Page, odds: np.ndarray) -> np.ndarray:
             for total in (text, links, paragraphs, commas):
                 total[node.parent] += total[i]
     out = np.zeros((n, N_FEATURES), np.uint8)
+    siblings: dict[int, Counter] = {}
     whole = max(1, text[0])
     for i, node in enumerate(nodes):
         above = nodes[node.parent] if node.parent >= 0 else node
         row = out[i]
         row[0], row[1] = GROUP_OF.get(node.tag, 0), GROUP_OF.get(above.tag, 0)
-        same = sum(nodes[c].tag == node.tag for c in above.children[:64])
+        at = node.parent if node.parent >= 0 else i
+        if at not in siblings:
+            siblings[at] = Counter(nodes[c].tag for c in above.children)
+        same = siblings[at][node.tag]
         row[2 : 2 + len(LINES)] = (
             min(node.depth, BINS - 1),
             _bin(node.index),
@@ -367,8 +373,10 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sam
     rows = pages.select(F.col(id_col).cast("string").alias("id"), F.col(html_col).alias("source")).filter("source IS NOT NULL")
     naming = F.col("source").rlike(NAMING)
     n = rows.filter(naming).count()
-    draw = F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.filter(draw < min(1.0, sample_pages / max(n, 1))).filter(naming)
+    draw = F.pmod(F.xxhash64(F.lit(SEED), "id", "source"), F.lit(1 << 30)) / float(1 << 30)
+    # Pages that repeat are drawn together and count once, so the one task that learns holds a bounded number of pages.
+    drawn = rows.filter(draw < min(1.0, sample_pages / max(n, 1))).filter(naming)
+    sample = drawn.distinct().limit(SAMPLE_BOUND * sample_pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sources = [s for batch in batches for s in batch.column(1).to_pylist()]

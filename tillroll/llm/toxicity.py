@@ -9,7 +9,8 @@ label table first, so the texts of all other rows are never moved. Features are
 sequential by nature, run in one task over that bounded sample. Scoring reads every text once and shuffles nothing.
 
 Defined cases: a null or empty text has no feature and scores the bias alone; rows with a null id or a null label are not
-learned from; a repeated id in either table repeats its training row; without any training row every score is 0.5;
+learned from; a repeated id in either table gives a training row for each
+different label and text; without any training row every score is 0.5;
 further columns are ignored.
 """
 
@@ -28,6 +29,7 @@ from pyspark.sql import types as T
 
 SLOTS = 1 << 20
 SAMPLE_DOCS = 20_000
+SAMPLE_BOUND = 2  # times SAMPLE_DOCS, whatever the draw gives
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 12.0, 0.1
 POSITIVE_WEIGHT = 3.0
@@ -114,9 +116,10 @@ def train(
     )
     n = known.count()
     draw = F.pmod(F.xxhash64(F.lit(SEED), F.col("id")), F.lit(1 << 30)) / float(1 << 30)
-    sample = known.filter(draw < min(1.0, sample_docs / max(n, 1)))
+    sample = known.filter(draw < min(1.0, sample_docs / max(n, 1))).distinct().limit(SAMPLE_BOUND * sample_docs)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # The sample holds about sample_docs narrow rows whatever the size of the tables, so broadcasting it is bounded.
+    # Documents that repeat an id multiply its label; rows that repeat id and text count once.
     examples = texts.join(F.broadcast(sample), "id").select("id", "text", "label")
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +144,8 @@ def train(
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(weights)], ["slot", "weight"])
 
     made = examples.mapInArrow(featurise, T.StructType([examples.schema["id"], T.StructField("label", T.IntegerType()), T.StructField("slots", T.ArrayType(T.IntegerType()))]))
-    ordered = made.repartition(1).sortWithinPartitions("id", "label", F.xxhash64("slots"))
+    bounded = made.dropDuplicates(["id", "label", "slots"]).limit(SAMPLE_BOUND * sample_docs)
+    ordered = bounded.repartition(1).sortWithinPartitions("id", "label", F.xxhash64("slots"))
     model = ordered.mapInArrow(learn, "slot long, weight double").toPandas().sort_values("slot")
     slots, weights = model["slot"].to_numpy(np.int64), model["weight"].to_numpy(np.float64)
     return slots[:-1], weights[:-1], float(weights[-1]) if len(weights) else 0.0
