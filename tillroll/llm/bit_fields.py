@@ -16,7 +16,7 @@ CHUNK_BITS = 1 << 15  # bits per row of bitmap_construct_agg
 
 def bit_field(hashes: DataFrame, bits: int) -> np.ndarray:
     """The bits that the column `h` sets, `bits` of them (a power of two, at least CHUNK_BITS) in bytes."""
-    at = F.col("h").bitwiseAND(F.lit(bits - 1))
+    at = F.col("h").cast("long").bitwiseAND(F.lit(bits - 1).cast("long"))
     chunk = F.call_function("div", at, F.lit(CHUNK_BITS).cast("long"))
     rows = hashes.select(chunk.alias("chunk"), (at % CHUNK_BITS).alias("bit")).groupBy("chunk")
     field = np.zeros(bits // 8, np.uint8)

@@ -5,7 +5,7 @@ each language into shards of about `SHARD_WORDS` words, written once to the shar
 
 1. the word counts of the shards are summed;
 2. for each length from two words on, each shard builds its index over the text that can still hold a frequent phrase of
-   that length, grows the frequent phrases one word shorter, and gives out hash and count of each; the hashes are summed;
+   that length, grows the frequent phrases one word shorter, and gives out 32 bits of a hash and the count of each; these are summed;
 3. each shard builds its index over the text between infrequent pairs, grows patterns up to `max_words` on the right and
    the left in turn, follows those that are frequent, and gives out each with its words, its count and, per side, the one
    word beside all its occurrences, if there is one.
@@ -15,8 +15,8 @@ as a field of `FILTER_BITS` bits addressed by hash, of one size whatever the cor
 through, and the last step counts phrases by their words. A phrase lies inside a longer one of the same count exactly
 when one word stands beside all its occurrences, in all shards; that settles which candidates are dropped without a join.
 
-Scale: shards are bounded, so is the memory of a task; a frequent phrase is one row per shard, reduced again in the map
-tasks. Ranking sorts parts of a language first and then the best of the parts.
+Scale: shards are bounded, so is the memory of a task. The last step runs in a few tasks per core; each adds up its shards
+before it gives a phrase out. Ranking sorts parts of a language first and then the best of the parts.
 
 Defined cases: a null text is empty, a null language `und`; a table without candidates gives an empty result; repeated
 rows count each time; further columns are ignored.
@@ -44,7 +44,8 @@ MAX_WORDS = 5
 TOP = 2000
 SCORE_SCALE = 1000
 SHARD_WORDS = 1 << 20
-FILTER_BITS = 1 << 26
+FILTER_BITS = 1 << 26  # at most 2^32
+HELD_PHRASES = 1 << 20
 RANK_PARTS = 64
 JVM_SEED = 42  # seed of Spark's xxhash64
 
@@ -190,7 +191,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 
 def _grams(fields: list, length: int):
-    """Rows (h, n): hash and count of the phrases of `length` words whose two shorter parts are frequent."""
+    """Rows (h, n): 32 bits of the hash, and count, of the phrases of `length` words whose two shorter parts are frequent."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
@@ -206,39 +207,57 @@ def _grams(fields: list, length: int):
             if length > 2:
                 tails = holds(shard.fields[length - 2], _phrase_hashes(shard.hashes, columns[1:]))
                 found, columns = found.only(tails), [c[tails] for c in columns]
-            h = _phrase_hashes(shard.hashes, columns)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(found.count.astype(np.int32))], ["h", "n"])
+            h = _phrase_hashes(shard.hashes, columns).astype(np.uint32).view(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(found.count.astype(np.int32))], ["h", "n"])
 
     return scan
 
 
+def _merged(tables: list[pa.Table]) -> pa.Table:
+    """One row for each phrase; a side keeps its word if all rows agree on it."""
+    grouped = pa.concat_tables(tables).group_by(["lang", "size", "phrase"])
+    summed = grouped.aggregate([("n", "sum")] + [(side, how) for side in ("left", "right") for how in ("min", "max")])
+    sides = [
+        pc.if_else(pc.equal(summed[f"{side}_min"], summed[f"{side}_max"]), summed[f"{side}_min"], "") for side in ("left", "right")
+    ]
+    columns = [summed["lang"], summed["size"], summed["phrase"], summed["n_sum"], *sides]
+    return pa.table(columns, names=["lang", "size", "phrase", "n", "left", "right"])
+
+
 def _phrases(fields: list, max_words: int):
-    """PHRASES of each shard."""
+    """PHRASES of the shards of a task, added up as far as HELD_PHRASES rows go."""
+
+    def counted(row: dict) -> Iterator[pa.Table]:
+        shard = _Text(row, [f.value for f in fields], 2)
+        if not len(shard.text):
+            return
+        names = pa.concat_arrays([pa.array([""], pa.string()), shard.names])
+        index = WordIndex(shard.text, len(names), max_words)
+        for length, found in enumerate(shard.patterns(index, max_words), 2):
+            # A longer phrase than the longest is no candidate, so its neighbours do not matter.
+            sides = [
+                index.only_neighbour(found, left) if length < max_words else np.zeros(len(found), np.int64)
+                for left in (True, False)
+            ]
+            columns = [
+                pa.array([row["lang"]] * len(found), pa.string()),
+                pa.array(np.full(len(found), length, np.int32)),
+                pc.binary_join_element_wise(*(names.take(pa.array(found.words[:, i])) for i in range(length)), " "),
+                pa.array(found.count.astype(np.int64)),
+                *(names.take(pa.array(side)) for side in sides),
+            ]
+            yield pa.table(columns, names=["lang", "size", "phrase", "n", "left", "right"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
         for row in _rows(batches):
-            shard = _Text(row, [f.value for f in fields], 2)
-            if not len(shard.text):
-                continue
-            names = pa.concat_arrays([pa.array([""], pa.string()), shard.names])
-            index = WordIndex(shard.text, len(names), max_words)
-            for length, found in enumerate(shard.patterns(index, max_words), 2):
-                # A longer phrase than the longest is no candidate, so its neighbours do not matter.
-                sides = [
-                    index.only_neighbour(found, left) if length < max_words else np.zeros(len(found), np.int64)
-                    for left in (True, False)
-                ]
-                columns = [names.take(pa.array(found.words[:, i])) for i in range(length)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([row["lang"]] * len(found), pa.string()),
-                        pa.array(np.full(len(found), length, np.int32)),
-                        pc.binary_join_element_wise(*columns, " "),
-                        pa.array(found.count.astype(np.int64)),
-                        *(names.take(pa.array(side)) for side in sides),
-                    ],
-                    ["lang", "size", "phrase", "n", "left", "right"],
-                )
+            held += counted(row)
+            if sum(t.num_rows for t in held) > HELD_PHRASES:
+                held = [_merged(held)]
+                if held[0].num_rows > HELD_PHRASES // 2:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from _merged(held).to_batches()
 
     return scan
 
@@ -265,9 +284,11 @@ def phrase_counts(
     fields = [context.broadcast(bit_field(frequent, FILTER_BITS))]
     texts = shards.select("lang", "words", "tokens")
     for length in range(2, max_words + 1):
-        grams = texts.mapInArrow(_grams(fields, length), "h long, n int").groupBy("h").agg(F.sum("n").alias("n"))
+        grams = texts.mapInArrow(_grams(fields, length), "h int, n int").groupBy("h").agg(F.sum("n").alias("n"))
         fields.append(context.broadcast(bit_field(grams.filter(F.col("n") >= min_count).select("h"), FILTER_BITS)))
-    found = texts.mapInArrow(_phrases(fields, max_words), PHRASES)
+    # Each task adds up its shards first, so with few tasks a phrase is given out few times.
+    together = texts.coalesce(2 * context.defaultParallelism)
+    found = together.mapInArrow(_phrases(fields, max_words), PHRASES)
 
     def always(side: str):
         return (F.min(side) == F.max(side)) & (F.min(side) != "")
