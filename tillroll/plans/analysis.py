@@ -27,7 +27,7 @@ from ..operators.correlation import correlation_matrix as correlate
 from ..operators.histogram import histogram
 from ..operators.joins import repeat_copies, skew_join, split_copies
 from ..operators.profile import describe
-from ..operators.quantiles import quantile_row, with_row
+from ..operators.quantiles import capped_summary, quantile_row, with_row
 from . import warehouse
 
 Raw = Mapping[str, DataFrame]
@@ -36,6 +36,7 @@ FEATURES = ("order_value", "item_count", "total_freight", "total_payment", "revi
 VALUE_PERCENTILES = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9, "p99": 0.99}
 DELAY_PERCENTILES = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
 BINS = 60
+VALUE_CAP = 0.99
 MIN_STATE_ORDERS = 100
 TOP_CATEGORIES = 15
 TOP_INSTALLMENTS = 12
@@ -149,22 +150,17 @@ def order_value_stats(raw: Raw) -> DataFrame:
     return describe(order_values(raw), ["order_value"], VALUE_PERCENTILES, {"skewness": skew_g1}).drop("column_name")
 
 
-def _capped_values(raw: Raw) -> DataFrame:
-    values = order_values(raw)
-    cap = quantile_row(values, {"cap": ("order_value", 0.99)})
-    return with_row(values, cap).filter(F.col("order_value") <= F.col("cap"))
-
-
 def hist_order_value(raw: Raw) -> DataFrame:
     """Order values up to their 99th percentile."""
-    return histogram(_capped_values(raw), "order_value", BINS)
+    values = order_values(raw)
+    limits = capped_summary(values, "order_value", VALUE_CAP).select("cap", "min", "max")
+    capped = with_row(values, limits).filter(F.col("order_value") <= F.col("cap"))
+    return histogram(capped, "order_value", BINS, span=("min", "max"))
 
 
 def order_value_markers(raw: Raw) -> DataFrame:
     """Mean and median of the values shown by hist_order_value, and the cap."""
-    capped = _capped_values(raw)
-    means = capped.agg(F.max("cap").alias("cap"), F.avg("order_value").alias("mean"))
-    return with_row(means, quantile_row(capped, {"median": ("order_value", 0.5)}))
+    return capped_summary(order_values(raw), "order_value", VALUE_CAP, {"median": 0.5}).select("cap", "mean", "median")
 
 
 def hist_log_value(raw: Raw) -> DataFrame:
