@@ -9,11 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.operators import profile
-from tillroll.operators.correlation import correlation_matrix
 from tillroll.operators.dedup import keep_first
 from tillroll.operators.histogram import histogram
 from tillroll.operators.joins import hot_keys, repeat_copies, skew_join, split_copies
-from tillroll.operators.quantiles import quantile_row, quantiles
+from tillroll.operators.moments import correlation_matrix, correlations, pearson, pooled_t
+from tillroll.operators.quantiles import capped_summary, quantile_row, quantiles
 
 P = (0.0, 0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0)
 

@@ -15,25 +15,6 @@ def skew_g1(c: Column) -> Column:
     return F.when(n < 3, None).when(F.min(c) == F.max(c), 0.0).otherwise(corrected)
 
 
-def pearson_pair(x: Column, y: Column) -> Column:
-    """Pearson's r as an aggregate over rows where both are present; null when either is constant."""
-    both = x.isNotNull() & y.isNotNull()
-    px, py = F.when(both, x), F.when(both, y)
-    constant = (F.min(px) == F.max(px)) | (F.min(py) == F.max(py))
-    r = F.try_divide(F.covar_samp(px, py), F.stddev_samp(px) * F.stddev_samp(py))
-    return F.when(~constant, r)
-
-
-def exact(c: Column) -> Column:
-    """A whole-number sum as a wide decimal, so that products of sums stay exact."""
-    return c.cast("decimal(19,0)")
-
-
-def centred(n: Column, sum_xy: Column, sum_x: Column, sum_y: Column) -> Column:
-    """n*Sxy - Sx*Sy from whole-number sums, exact until the last cast; 0 exactly when there is no variation."""
-    return (exact(n) * exact(sum_xy) - exact(sum_x) * exact(sum_y)).cast("double")
-
-
 def t_of_r(r: Column, n: Column) -> Column:
     return r * F.sqrt(F.try_divide((n - 2).cast("double"), 1 - r * r))
 

@@ -18,12 +18,11 @@ from ..functions.columns import (
     clip,
     label_of,
     month_of,
-    strength_label,
     strip,
     total,
 )
-from ..functions.statistics import centred, skew_g1, t_of_r, t_tail
-from ..operators.correlation import correlation_matrix as correlate
+from ..functions.statistics import skew_g1
+from ..operators import moments
 from ..operators.histogram import histogram
 from ..operators.joins import repeat_copies, skew_join, split_copies
 from ..operators.profile import describe
@@ -86,6 +85,11 @@ def _score_sums(raw: Raw) -> DataFrame:
     )
 
 
+def _scores(raw: Raw) -> DataFrame:
+    """(order_id, review_score, n_r): equal review rows of an order, counted."""
+    return scored(raw).groupBy("order_id", F.col("review_score").cast("double").alias("review_score")).agg(_rows().alias("n_r"))
+
+
 # -- volume ------------------------------------------------------------------------------------------------------
 
 
@@ -347,92 +351,52 @@ def order_features(raw: Raw) -> DataFrame:
     return repeat_copies(joined, "_copies").select("order_id", *FEATURES)
 
 
+def weighted_features(raw: Raw) -> DataFrame:
+    """The rows of order_features with equal ones counted in ``weight``: one per order, delay and score.
+
+    Every part is reduced per order before it is joined, so no order is large and all joins share one partitioning.
+    """
+    late = (
+        delivered(raw)
+        .select("order_id", F.col("delivery_delay_days").cast("double"))
+        .dropna()
+        .groupBy("order_id", "delivery_delay_days")
+        .agg(_rows().alias("_copies"))
+    )
+    joined = _scores(raw).join(item_totals(raw), "order_id").join(payment_totals(raw), "order_id").join(late, "order_id", "left")
+    weight = F.col("n_r") * F.coalesce("_copies", F.lit(1))
+    return joined.select(*FEATURES, weight.alias("weight"))
+
+
 def correlation_matrix(raw: Raw) -> DataFrame:
-    return correlate(order_features(raw), FEATURES)
+    return moments.correlation_matrix(weighted_features(raw), FEATURES, "weight")
 
 
 def correlation_with(raw: Raw, target: str = "review_score") -> DataFrame:
     """Correlation of every other feature with the target, lowest first."""
     r = F.col("corr")
+    pairs = [(target, c) for c in FEATURES if c != target]
     return (
-        correlation_matrix(raw)
-        .filter((F.col("col_x") == target) & (F.col("col_y") != target))
-        .select("col_y", "corr", F.when(r > 0, "positive").otherwise("negative").alias("direction"))
-        .withColumnRenamed("col_y", "column_name")
+        moments.correlations(weighted_features(raw), pairs, "weight")
+        .select(F.col("col_y").alias("column_name"), "corr", F.when(r > 0, "positive").otherwise("negative").alias("direction"))
         .orderBy("corr", "column_name")
     )
 
 
-def ttest_late_reviews(raw: Raw, min_group: int = 30, alpha: float = 0.05) -> DataFrame:
-    """Student's t-test with equal variances: scores of on-time against late deliveries. No row for small groups.
-
-    The group moments are whole-number sums over (delivered row, review row) pairs, built from one row per order.
-    """
-    late = delivered(raw).groupBy("order_id", "is_late").agg(_rows().alias("n_d"))
-    pairs = late.join(_score_sums(raw), "order_id")
-    sums = {}
-    for name, flag in (("on_time", 0), ("late", 1)):
-        here = F.col("is_late") == flag
-        sums[f"n_{name}"] = F.sum(F.when(here, F.col("n_d") * F.col("n_r")))
-        sums[f"s_{name}"] = F.sum(F.when(here, F.col("n_d") * F.col("sum_s")))
-        sums[f"ss_{name}"] = F.sum(F.when(here, F.col("n_d") * F.col("sum_ss")))
-    groups = pairs.agg(*[c.alias(k) for k, c in sums.items()]).filter(
-        (F.col("n_on_time") > min_group) & (F.col("n_late") > min_group)
-    )
+def _scored_deliveries(raw: Raw, column: str) -> DataFrame:
+    """(column, review_score, weight) of all pairs of a delivered row and a review row of one order, equal ones counted."""
+    late = delivered(raw).select("order_id", column).dropna().groupBy("order_id", column).agg(_rows().alias("n_d"))
+    weight = (F.col("n_d") * F.col("n_r")).alias("weight")
+    return late.join(_scores(raw), "order_id").select(column, "review_score", weight)
 
-    def spread(name: str) -> Column:
-        n, s, ss = (F.col(f"{k}_{name}") for k in ("n", "s", "ss"))
-        return F.try_divide(centred(n, ss, s, s), n.cast("double"))
 
-    degrees = F.col("n_on_time") + F.col("n_late") - 2
-    pooled = (spread("on_time") + spread("late")) / degrees
-    error = F.sqrt(pooled * (F.lit(1.0) / F.col("n_on_time") + F.lit(1.0) / F.col("n_late")))
-    return (
-        groups.select(
-            (F.col("s_on_time") / F.col("n_on_time")).alias("mean_on_time"),
-            F.col("n_on_time"),
-            (F.col("s_late") / F.col("n_late")).alias("mean_late"),
-            F.col("n_late"),
-            error.alias("_error"),
-            degrees.alias("df"),
-        )
-        .withColumn("t_stat", F.try_divide(F.col("mean_on_time") - F.col("mean_late"), F.col("_error")))
-        .withColumn("p_value", t_tail(F.col("t_stat"), F.col("df")))
-        .withColumn("significant", (F.col("p_value") < alpha).cast("int"))
-        .select("mean_on_time", "n_on_time", "mean_late", "n_late", "t_stat", "df", "p_value", "significant")
-    )
+def ttest_late_reviews(raw: Raw, min_group: int = 30, alpha: float = 0.05) -> DataFrame:
+    """Student's t-test with equal variances: scores of on-time against late deliveries. No row for small groups."""
+    pairs = _scored_deliveries(raw, "is_late")
+    return moments.pooled_t(pairs, "review_score", "is_late", "weight", ("on_time", "late"), min_group, alpha)
 
 
 def pearson_delay_review(raw: Raw, min_rows: int = 50) -> DataFrame:
-    """Pearson's r of delay and score over all (delivered row, review row) pairs, with p and words. No row if few."""
-    late = (
-        delivered(raw)
-        .select("order_id", F.col("delivery_delay_days").alias("x"))
-        .dropna()
-        .groupBy("order_id", "x")
-        .agg(_rows().alias("n_d"))
-    )
-    w = F.col("n_d") * F.col("n_r")
-    sums = late.join(_score_sums(raw), "order_id").agg(
-        F.sum(w).alias("n"),
-        F.sum(w * F.col("x")).alias("sx"),
-        F.sum(F.col("n_d") * F.col("sum_s")).alias("sy"),
-        F.sum(w * F.col("x") * F.col("x")).alias("sxx"),
-        F.sum(F.col("n_d") * F.col("sum_ss")).alias("syy"),
-        F.sum(F.col("n_d") * F.col("x") * F.col("sum_s")).alias("sxy"),
-    )
-    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
-    scale = F.sqrt(centred(n, F.col("sxx"), sx, sx)) * F.sqrt(centred(n, F.col("syy"), sy, sy))
-    r = F.col("r")
-    return (
-        sums.filter(n > min_rows)
-        .select("n", F.try_divide(centred(n, F.col("sxy"), sx, sy), scale).alias("r"))
-        .withColumn("p_value", F.when(F.abs(r) >= 1, 0.0).otherwise(t_tail(t_of_r(r, n), n - 2)))
-        .select(
-            "r",
-            "n",
-            "p_value",
-            strength_label(r).alias("strength"),
-            F.when(r < 0, "negative").when(r >= 0, "positive").alias("direction"),
-        )
-    )
+    """Pearson's r of delay and score over all pairs of a delivered row and a review row, with p and words. No row if few."""
+    pairs = _scored_deliveries(raw, "delivery_delay_days")
+    return moments.pearson(pairs, "delivery_delay_days", "review_score", "weight", min_rows)
