@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import all_null, second_text
 from ..operators import profile
 from ..operators.joins import orphan_counts
+from ..operators.presence import Reference, broken_references
 from ..operators.profile import rows_of, stack
 from ..operators.quantiles import quantile_row, with_row
 from ..schemas import FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS, PRODUCT_DIMENSIONS
@@ -66,15 +67,15 @@ def describe_payments(raw: Raw) -> DataFrame:
     return profile.describe(raw["payments"], NUMERIC_PAYMENT_COLUMNS, QUARTILES)
 
 
+def _raw_references() -> list[Reference]:
+    return [Reference(name, child, key, parent, key) for name, child, parent, key in RELATIONS]
+
+
 def referential_integrity(raw: Raw) -> DataFrame:
-    return stack(
-        [
-            orphan_counts(raw[child], raw[parent], key)
-            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"))
-            .select(F.lit(relation).alias("relation"), "orphan_rows")
-            for relation, child, parent, key in RELATIONS
-        ]
-    )
+    """Child rows without their parent, per relation; a null key matches a null key. One shuffle answers all."""
+    found = broken_references(raw, _raw_references(), null_is_key=True)
+    listed = [(F.lit(name), F.col(f"`orphans {name}`")) for name, *_ in RELATIONS]
+    return rows_of(found, ("relation", "orphan_rows"), listed)
 
 
 def orphan_order_sample(raw: Raw, rows: int = 3) -> DataFrame:
@@ -120,22 +121,21 @@ def non_positive_payments(raw: Raw) -> DataFrame:
     return raw["payments"].agg(F.count_if(F.col("payment_value") <= 0).alias("non_positive_payments"))
 
 
+ORPHAN_REVIEWS = Reference("orphan_reviews", "reviews", "order_id", "orders", "order_id")
+
+
+def _review_rows(found: DataFrame) -> DataFrame:
+    metrics = {
+        "orphan_reviews": "orphans orphan_reviews",
+        "multi_review_orders": "repeats reviews.order_id",
+        "max_reviews_per_order": "most reviews.order_id",
+    }
+    return rows_of(found, ("metric", "value"), [(F.lit(name), F.col(f"`{c}`")) for name, c in metrics.items()])
+
+
 def review_quality(raw: Raw) -> DataFrame:
-    orphans = orphan_counts(raw["reviews"], raw["orders"], "order_id").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_reviews")
-    )
-    per_order = (
-        raw["reviews"].filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
-    )
-    repeated = per_order.filter("n > 1").agg(
-        F.count(F.lit(1)).alias("multi_review_orders"), F.max("n").alias("max_reviews_per_order")
-    )
-    return stack(
-        [
-            rows_of(df, ("metric", "value"), [(F.lit(name), F.col(name)) for name in df.columns])
-            for df in (orphans, repeated)
-        ]
-    )
+    """Reviews of unknown orders, and orders with several reviews, from one aggregate by order."""
+    return _review_rows(broken_references(raw, [ORPHAN_REVIEWS], repeated=[("reviews", "order_id")], null_is_key=True))
 
 
 def product_quality(raw: Raw) -> DataFrame:
@@ -161,25 +161,13 @@ def pk_violations(tables: Raw) -> DataFrame:
 
 
 def constraint_report(tables: Raw) -> DataFrame:
-    """Violations of the declared NOT NULLs and references (a null reference is no violation)."""
-    required: dict[str, list[str]] = {}
-    for table, column in NOT_NULL:
-        required.setdefault(table, []).append(column)
+    """Violations of the declared NOT NULLs and references (a null reference is no violation), from one shuffle."""
+    references = [Reference(f"{t}.{c}", t, c, parent, c) for t, c, parent in FOREIGN_KEYS]
+    found = broken_references(tables, references, NOT_NULL)
+    rows = [(t, f"not null {c}", f"nulls {t}.{c}") for t, c in NOT_NULL]
+    rows += [(t, f"{c} references {parent}", f"orphans {t}.{c}") for t, c, parent in FOREIGN_KEYS]
     names = ("table_name", "constraint", "violations")
-    checks = []
-    for table, columns in required.items():
-        nulls = tables[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-        checks.append(rows_of(nulls, names, [(F.lit(table), F.lit(f"not null {c}"), F.col(c)) for c in columns]))
-    for table, column, parent in FOREIGN_KEYS:
-        child = tables[table].select(column).filter(F.col(column).isNotNull())
-        checks.append(
-            orphan_counts(child, tables[parent].select(column), column)
-            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
-            .select(
-                F.lit(table).alias("table_name"), F.lit(f"{column} references {parent}").alias("constraint"), "violations"
-            )
-        )
-    return stack(checks)
+    return rows_of(found, names, [(F.lit(t), F.lit(label), F.col(f"`{c}`")) for t, label, c in rows])
 
 
 def quality_report(raw: Raw, as_of: Column | None = None) -> DataFrame:
