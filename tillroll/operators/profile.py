@@ -30,29 +30,26 @@ def row_count(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+def null_measures(columns: Sequence[str]) -> list[Column]:
+    """Aggregates that count rows and values, for `null_facts` to read; they go into any other aggregate of the table."""
+    return [F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(c)).alias(f"_known_{i}") for i, c in enumerate(columns)]]
+
+
+def null_facts(columns: Sequence[str]) -> list[tuple[str, Column, Column, Column]]:
+    """(column, null_count, null_pct, high_null) over a row of `null_measures`; percentages have two digits, half-even."""
+    facts = []
+    for i, c in enumerate(columns):
+        missing = F.col("_rows") - F.col(f"_known_{i}")
+        share = F.bround(F.try_divide(missing * F.lit(100.0), F.col("_rows")), 2)
+        facts.append((c, missing, share, (share >= HIGH_NULL_PERCENT).cast("int")))
+    return facts
+
+
 def null_profile(df: DataFrame, table: str) -> DataFrame:
-    """Columns with nulls, their count, percentage (two digits, half-even) and the high-share flag; one scan."""
-    counted = df.agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(c)).alias(f"_{i}") for i, c in enumerate(df.columns)]
-    )
-    missing = [F.col("_rows") - F.col(f"_{i}") for i in range(len(df.columns))]
-    listed = rows_of(
-        counted,
-        ("table_name", "column_name", "null_count", "_rows"),
-        [(F.lit(table), F.lit(c), m, F.col("_rows")) for c, m in zip(df.columns, missing)],
-    )
-    share = F.bround(F.try_divide(F.col("null_count") * F.lit(100.0), F.col("_rows")), 2)
-    return (
-        listed.filter("null_count > 0")
-        .withColumn("null_pct", share)
-        .select(
-            "table_name",
-            "column_name",
-            "null_count",
-            "null_pct",
-            (F.col("null_pct") >= HIGH_NULL_PERCENT).cast("int").alias("high_null"),
-        )
-    )
+    """Columns with nulls, their count, percentage and the high-share flag; one scan."""
+    names = ("table_name", "column_name", "null_count", "null_pct", "high_null")
+    listed = [(F.lit(table), F.lit(c), *facts) for c, *facts in null_facts(df.columns)]
+    return rows_of(df.agg(*null_measures(df.columns)), names, listed).filter("null_count > 0")
 
 
 def _key_copies(df: DataFrame, key: str) -> DataFrame:
@@ -112,6 +109,15 @@ def value_counts(df: DataFrame, table: str, column: str, top: int | None = 10) -
     )
 
 
+SUMMARY = {
+    "count": F.count,
+    "mean": F.avg,
+    "std": F.stddev_samp,
+    "min": lambda c: F.min(c).cast("double"),
+    "max": lambda c: F.max(c).cast("double"),
+}
+
+
 def describe(
     df: DataFrame, columns: Sequence[str], percentiles: Mapping[str, float], extra: Mapping[str, object] | None = None
 ) -> DataFrame:
@@ -120,14 +126,7 @@ def describe(
     ``extra`` maps an output name to a function from a column to an aggregate expression.
     """
     extra = extra or {}
-    parts = {
-        "count": lambda c: F.count(c),
-        "mean": lambda c: F.avg(c),
-        "std": lambda c: F.stddev_samp(c),
-        "min": lambda c: F.min(c).cast("double"),
-        "max": lambda c: F.max(c).cast("double"),
-        **extra,
-    }
+    parts = SUMMARY | extra
     summary = df.agg(
         *[make(F.col(c)).alias(f"_{i}_{name}") for i, c in enumerate(columns) for name, make in parts.items()]
     )

@@ -11,7 +11,7 @@ from ..functions.columns import all_null, second_text
 from ..operators import profile
 from ..operators.joins import orphan_counts
 from ..operators.presence import Reference, broken_references
-from ..operators.profile import rows_of, stack
+from ..operators.profile import null_facts, null_measures, rows_of, stack
 from ..operators.quantiles import quantile_row, with_row
 from ..schemas import FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS, PRODUCT_DIMENSIONS
 
@@ -84,20 +84,25 @@ def orphan_order_sample(raw: Raw, rows: int = 3) -> DataFrame:
     return orphans.select("order_id").distinct().orderBy("order_id").limit(rows)
 
 
-def date_consistency(raw: Raw, as_of: Column | None = None) -> DataFrame:
-    """Date range and impossible dates of the orders in one scan. ``as_of`` (default: now) decides what is future."""
+def _date_measures(as_of: Column | None) -> dict[str, Column]:
     as_of = F.localtimestamp() if as_of is None else as_of
     bought, approved = F.col("order_purchase_timestamp"), F.col("order_approved_at")
     delivered, estimated = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
-    metrics = {
-        "min_purchase": second_text(F.min(bought)),
-        "max_purchase": second_text(F.max(bought)),
+    return {
+        "min_purchase": F.min(bought),
+        "max_purchase": F.max(bought),
         "future_orders": F.count_if(bought > as_of),
         "delivered_before_purchase": F.count_if(delivered < bought),
         "approved_before_purchase": F.count_if(approved < bought),
         "estimated_on_purchase_day": F.count_if(F.to_date(estimated) == F.to_date(bought)),
     }
-    one_row = raw["orders"].agg(*[m.cast("string").alias(name) for name, m in metrics.items()])
+
+
+def date_consistency(raw: Raw, as_of: Column | None = None) -> DataFrame:
+    """Date range and impossible dates of the orders in one scan. ``as_of`` (default: now) decides what is future."""
+    metrics = _date_measures(as_of)
+    texts = {name: second_text(m) if name in ("min_purchase", "max_purchase") else m.cast("string") for name, m in metrics.items()}
+    one_row = raw["orders"].agg(*[m.alias(name) for name, m in texts.items()])
     return rows_of(one_row, ("metric", "value"), [(F.lit(name), F.col(name)) for name in metrics])
 
 
@@ -138,12 +143,16 @@ def review_quality(raw: Raw) -> DataFrame:
     return _review_rows(broken_references(raw, [ORPHAN_REVIEWS], repeated=[("reviews", "order_id")], null_is_key=True))
 
 
+def _product_measures() -> dict[str, Column]:
+    return {
+        "total": F.count(F.lit(1)),
+        "categories": F.count_distinct(F.col("product_category_name")),
+        "all_dims_missing": F.count_if(all_null(PRODUCT_DIMENSIONS)),
+    }
+
+
 def product_quality(raw: Raw) -> DataFrame:
-    one_row = raw["products"].agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_distinct(F.col("product_category_name")).alias("categories"),
-        F.count_if(all_null(PRODUCT_DIMENSIONS)).alias("all_dims_missing"),
-    )
+    one_row = raw["products"].agg(*[m.alias(name) for name, m in _product_measures().items()])
     return rows_of(one_row, ("metric", "value"), [(F.lit(name), F.col(name)) for name in one_row.columns])
 
 
@@ -170,68 +179,92 @@ def constraint_report(tables: Raw) -> DataFrame:
     return rows_of(found, names, [(F.lit(t), F.lit(label), F.col(f"`{c}`")) for t, label, c in rows])
 
 
+def _table_facts(raw: Raw, table: str, as_of: Column | None) -> DataFrame:
+    """(check, table_name, column_name, metric, value) of everything that one aggregate over a table can tell."""
+    df = raw[table]
+    measures = null_measures(df.columns)
+    facts = [
+        ("nulls", c, metric, F.when(missing > 0, value))
+        for c, missing, share, high in null_facts(df.columns)
+        for metric, value in (("null_count", missing), ("null_pct", share), ("high_null", high))
+    ]
+    kept = len(facts)
+    if table == "orders":
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        for name, m in _date_measures(as_of).items():
+            measures.append(m.alias(name))
+            day = F.timestamp_diff("SECOND", epoch, F.col(name)) / F.lit(86_400.0)
+            facts.append(("dates", None, name, day if name in ("min_purchase", "max_purchase") else F.col(name)))
+    elif table == "products":
+        for name, m in _product_measures().items():
+            measures.append(m.alias(name))
+            facts.append(("products", None, name, F.col(name)))
+    elif table == "payments":
+        # One set of located ranks serves the summary and the threshold of extreme payments.
+        ranks = {f"_{n}_{c}": (c, p) for c in NUMERIC_PAYMENT_COLUMNS for n, p in QUARTILES.items()}
+        df = with_row(df, quantile_row(df, ranks | {"_p99": ("payment_value", 0.99)}))
+        for c in NUMERIC_PAYMENT_COLUMNS:
+            measures += [make(F.col(c)).alias(f"_{n}_{c}") for n, make in profile.SUMMARY.items()]
+            measures += [F.max(f"_{n}_{c}").alias(f"_{n}_{c}") for n in QUARTILES]
+            facts += [("numeric summary", c, n, F.col(f"_{n}_{c}")) for n in ("count", "mean", "std", "min", *QUARTILES, "max")]
+        value = F.col("payment_value")
+        for name, holds in (("non_positive", value <= 0), ("extreme", value > F.col("_p99") * EXTREME_FACTOR)):
+            measures.append(F.count_if(holds).alias(f"{name}_payments"))
+            facts.append(("payments", "payment_value", f"{name}_payments", F.col(f"{name}_payments")))
+    text = F.lit(None).cast("string")
+    rows = [
+        (F.lit(check), F.lit(table), text if c is None else F.lit(c), F.lit(metric), v.cast("double"), F.lit(i >= kept))
+        for i, (check, c, metric, v) in enumerate(facts)
+    ]
+    listed = rows_of(df.agg(*measures), (*REPORT, "_always"), rows)
+    # Columns without nulls are not listed; every other finding is, even where it has no value.
+    return listed.filter(F.col("_always") | F.col("value").isNotNull()).drop("_always")
+
+
+REPORT = ("check", "table_name", "column_name", "metric", "value")
+
+
 def quality_report(raw: Raw, as_of: Column | None = None) -> DataFrame:
     """Every raw-table check in one shape: (check, table_name, column_name, metric, value).
 
-    Dates appear as days since 1970-01-01 with the time of day as the fraction.
+    Dates appear as days since 1970-01-01 with the time of day as the fraction. All checks that are sums over a table come
+    out of one aggregate per table, all references out of one shuffle; the rest groups by whole rows or by a column.
     """
     none = F.lit(None).cast("string")
 
-    def shape(df: DataFrame, check: str, table: Column, column: Column, metric: Column, value: Column) -> DataFrame:
-        return df.select(
-            F.lit(check).alias("check"),
-            table.alias("table_name"),
-            column.alias("column_name"),
-            metric.alias("metric"),
-            value.cast("double").alias("value"),
-        )
-
-    def melt(df: DataFrame, check: str, table: Column, column: Column, metrics: list[str]) -> DataFrame:
-        long = df.unpivot(
-            [table.alias("_t"), column.alias("_c")], [F.col(m).cast("double").alias(m) for m in metrics], "_m", "_v"
-        )
-        return shape(long, check, F.col("_t"), F.col("_c"), F.col("_m"), F.col("_v"))
+    def shape(df: DataFrame, *columns: Column) -> DataFrame:
+        return df.select(*[c.cast("double" if n == "value" else "string").alias(n) for n, c in zip(REPORT, columns)])
 
     table, column = F.col("table_name"), F.col("column_name")
-    dates = date_consistency(raw, as_of)
-    day_number = F.timestamp_diff(
-        "SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("value").try_cast("timestamp_ntz")
-    ) / F.lit(86_400.0)
-    is_date = F.col("metric").isin("min_purchase", "max_purchase")
+    copies = duplicate_check(raw).unpivot(
+        ["table_name", "key_column"], ["full_row_duplicates", "key_duplicates"], "metric", "value"
+    )
+    references = broken_references(
+        raw, [*_raw_references(), ORPHAN_REVIEWS], repeated=[("reviews", "order_id")], null_is_key=True
+    )
+    names = [("references", None, name, f"orphans {name}") for name, *_ in RELATIONS]
+    names += [
+        ("reviews", "reviews", "orphan_reviews", "orphans orphan_reviews"),
+        ("reviews", "reviews", "multi_review_orders", "repeats reviews.order_id"),
+        ("reviews", "reviews", "max_reviews_per_order", "most reviews.order_id"),
+    ]
+    found = rows_of(
+        references,
+        REPORT,
+        [
+            (F.lit(check), none if t is None else F.lit(t), none, F.lit(metric), F.col(f"`{c}`").cast("double"))
+            for check, t, metric, c in names
+        ],
+    )
     parts = [
-        melt(null_profile(raw), "nulls", table, column, ["null_count", "null_pct", "high_null"]),
-        melt(duplicate_check(raw), "duplicates", table, F.col("key_column"), ["full_row_duplicates", "key_duplicates"]),
-        shape(value_checks(raw), "distinct values", table, column, F.lit("distinct_values"), F.col("distinct_values")),
-        shape(value_counts(raw), "value counts", table, column, F.col("value"), F.col("n")),
-        melt(
-            describe_payments(raw),
-            "numeric summary",
-            F.lit("payments"),
-            column,
-            ["count", "mean", "std", "min", *QUARTILES, "max"],
-        ),
-        shape(referential_integrity(raw), "references", none, none, F.col("relation"), F.col("orphan_rows")),
-        shape(
-            dates,
-            "dates",
-            F.lit("orders"),
-            none,
-            F.col("metric"),
-            F.when(is_date, day_number).otherwise(F.col("value").try_cast("double")),
-        ),
+        *[_table_facts(raw, t, as_of) for t in CHECKED_KEYS],
+        shape(copies, F.lit("duplicates"), table, F.col("key_column"), F.col("metric"), F.col("value")),
+        shape(value_checks(raw), F.lit("distinct values"), table, column, F.lit("distinct_values"), F.col("distinct_values")),
+        shape(value_counts(raw), F.lit("value counts"), table, column, F.col("value"), F.col("n")),
+        found,
         shape(
-            orders_without_payment(raw), "orders without payment", F.lit("orders"), F.lit("order_status"),
+            orders_without_payment(raw), F.lit("orders without payment"), F.lit("orders"), F.lit("order_status"),
             F.col("order_status"), F.col("n"),
         ),
-        shape(
-            non_positive_payments(raw), "payments", F.lit("payments"), F.lit("payment_value"),
-            F.lit("non_positive_payments"), F.col("non_positive_payments"),
-        ),
-        shape(
-            payment_outliers(raw).agg(F.count(F.lit(1)).alias("n")), "payments", F.lit("payments"),
-            F.lit("payment_value"), F.lit("extreme_payments"), F.col("n"),
-        ),
-        shape(review_quality(raw), "reviews", F.lit("reviews"), none, F.col("metric"), F.col("value")),
-        shape(product_quality(raw), "products", F.lit("products"), none, F.col("metric"), F.col("value")),
-    ]
+    ]
     return stack(parts)
