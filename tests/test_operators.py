@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from tillroll.operators import profile
 from tillroll.operators.dedup import keep_first
 from tillroll.operators.histogram import histogram
-from tillroll.operators.joins import hot_keys, repeat_copies, skew_join, split_copies
+from tillroll.operators.joins import hot_keys, repeat_copies, right_skew_join, skew_join, split_copies
 from tillroll.operators.moments import correlation_matrix, correlations, pearson, pooled_t
+from tillroll.operators.presence import Reference, broken_references
 from tillroll.operators.quantiles import capped_summary, quantile_row, quantiles
 
 P = (0.0, 0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0)
@@ -185,3 +186,100 @@ def test_quantile_rows_meet_one_bucket_at_most(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     targets_in_groups = [line for line in plan.split("\n") if "Aggregate" in line and "_rank" in line and "count(1)" in line]
     assert not targets_in_groups
+
+
+@pytest.mark.parametrize("cap", [0.99, 0.5, 1.0])
+@pytest.mark.parametrize("name", list(DRAWS))
+def test_capped_summary_is_that_of_the_capped_values(spark, name, cap):
+    xs = DRAWS[name]
+    limit = float(np.quantile(xs, cap))
+    kept = [x for x in xs if x <= limit]
+    got = capped_summary(column(spark, xs).repartition(5), "x", cap, {"median": 0.5, "p9": 0.9}).first()
+    near = lambda v: pytest.approx(float(v), rel=1e-9, abs=1e-310)
+    assert got.cap == near(limit)
+    if got.cap == limit or name != "close together":
+        assert (got["count"], got.min, got.max) == (len(kept), min(kept), max(kept))
+        assert got.mean == pytest.approx(float(np.mean(kept)), rel=1e-9, abs=max(map(abs, xs)) * 1e-12)
+        assert got.median == near(np.quantile(kept, 0.5)) and got.p9 == near(np.quantile(kept, 0.9))
+
+
+def test_capped_summary_of_nothing(spark):
+    assert tuple(capped_summary(column(spark, [None]), "x", 0.99).first()) == (None, 0, None, None, None)
+    assert tuple(capped_summary(column(spark, [None]), "x", 0.99, {"m": 0.5}).first()) == (None, 0, None, None, None, None)
+
+
+def test_quantiles_meet_their_input_once_per_level(spark):
+    df = column(spark, [1.0, 2.0, 3.0]).withColumn("x", F.col("x") + F.lit(1))
+    for made, times in ((quantiles(df, ["x"], P), 3), (capped_summary(df, "x", 0.9), 3), (capped_summary(df, "x", 0.9, {"m": 0.5}), 6)):
+        assert made._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == times
+
+
+def moments_rows():
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=300) * 1e-3 + 1e9
+    y = 2 * (x - 1e9) + rng.normal(size=300) * 1e-3
+    return [(float(a), float(b) if i % 5 else None, i % 2, i % 4, 0.1) for i, (a, b) in enumerate(zip(x, y))]
+
+
+def test_weighted_moments_equal_written_out_copies(spark):
+    rows = moments_rows()
+    schema = "x double, y double, late int, w int, c double"
+    df = spark.createDataFrame(rows, schema).repartition(4)
+    copies = spark.createDataFrame([r for r in rows for _ in range(r[3])], schema)
+    kept = [(r[0], r[1]) for r in rows for _ in range(r[3]) if r[1] is not None]
+    wanted = np.corrcoef(*zip(*kept))[0, 1]
+    for made in (correlations(df, [("x", "y"), ("x", "c")], "w"), correlations(copies, [("x", "y"), ("x", "c")])):
+        found = {(r.col_x, r.col_y): (r.n, r.corr) for r in made.collect()}
+        assert found["x", "y"] == (len(kept), pytest.approx(wanted, abs=1e-4)) and found["x", "c"][1] is None
+    r, n, p, strength, direction = pearson(df, "x", "y", "w").first()
+    assert (r, n, strength, direction) == (pytest.approx(wanted, abs=1e-4), len(kept), "strong", "positive") and p < 1e-9
+    assert pearson(df, "x", "y", "w", min_rows=len(kept)).count() == 0
+    assert pearson(df, "x", "c", "w").first().r is None
+
+
+def test_pooled_t_of_any_columns(spark):
+    rows = moments_rows()
+    df = spark.createDataFrame(rows, "x double, y double, late int, w int, c double").repartition(3)
+    a = [r[0] - 1e9 for r in rows for _ in range(r[3]) if r[2] == 0]
+    b = [r[0] - 1e9 for r in rows for _ in range(r[3]) if r[2] == 1]
+    pooled = (np.var(a) * len(a) + np.var(b) * len(b)) / (len(a) + len(b) - 2)
+    wanted = (np.mean(a) - np.mean(b)) / math.sqrt(pooled * (1 / len(a) + 1 / len(b)))
+    row = pooled_t(df, "x", "late", "w", ("early", "late")).first()
+    assert (row.n_early, row.n_late, row.df) == (len(a), len(b), len(a) + len(b) - 2)
+    assert row.t_stat == pytest.approx(wanted, abs=1e-3) and 0 <= row.p_value <= 1
+    assert pooled_t(df, "x", "late", "w", min_group=len(a)).count() == 0
+    assert pooled_t(df, "c", "late", "w").first().t_stat is None
+    assert pooled_t(df.limit(0), "x", "late").count() == 0
+
+
+def test_references_from_one_shuffle(spark):
+    child = spark.createDataFrame([("a", "x"), ("a", None), ("gone", "x"), ("gone", "x"), (None, "lost"), (None, "x")], "k string, other string")
+    tables = {"child": child, "parent": spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string"),
+              "second": spark.createDataFrame([("x", 1), ("x", None)], "other string, v int")}
+    refs = [Reference("k", "child", "k", "parent", "k"), Reference("o", "child", "other", "second", "other")]
+    made = broken_references(tables, refs, [("child", "k"), ("second", "v"), ("second", "other")], [("parent", "k"), ("child", "k"), ("second", "v")])
+    assert made.first().asDict() == {
+        "orphans k": 2, "orphans o": 1, "nulls child.k": 2, "nulls second.v": 1, "nulls second.other": 0,
+        "repeats parent.k": 1, "most parent.k": 2, "repeats child.k": 2, "most child.k": 2, "repeats second.v": 0, "most second.v": None,
+    }
+    assert broken_references(tables, refs, null_is_key=True).first().asDict() == {"orphans k": 2, "orphans o": 2}
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    nothing = {name: df.limit(0) for name, df in tables.items()}
+    assert set(broken_references(nothing, refs).first()) == {0}
+
+
+def test_right_side_split_equals_the_plain_left_join(spark):
+    products = spark.createDataFrame([("hot", 1), ("hot", 2), ("a", 3), ("unsold", 4), (None, 5)], "k string, v int")
+    pairs = spark.createDataFrame([("hot", f"s{i}") for i in range(500)] + [("a", "s1"), ("a", None), ("other", "s2"), (None, "s3")], "k string, s string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        split = right_skew_join(products, pairs, "k", "s", rows_per_salt=20)
+        shares = Counter(r[0] for r in split.select(F.spark_partition_id()).collect())
+        rows = sorted(map(str, split.select("k", "v", "s").collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert rows == sorted(map(str, products.join(pairs, "k", "left").select("k", "v", "s").collect()))
+    assert max(shares.values()) < 700

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import day_text, floor_days, is_late, second_text, total
-from ..operators.joins import skew_join
+from ..operators.joins import right_skew_join, skew_join
 from ..schemas import WAREHOUSE, conform
 
 FACT_PARTS = ("customer", "payment", "items", "review", "time")
@@ -95,9 +95,12 @@ def dim_time(orders: DataFrame) -> DataFrame:
 
 
 def dim_products(products: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per product and seller that sold it; a product without sales keeps one row with a null seller."""
+    """One row per product and seller that sold it; a product without sales keeps one row with a null seller.
+
+    A product that very many sellers sell is split over tasks by its sellers.
+    """
     pairs = items.filter(F.col("product_id").isNotNull()).select("product_id", "seller_id").distinct()
-    return conform(products.join(pairs, "product_id", "left"), WAREHOUSE["dim_products"])
+    return conform(right_skew_join(products, pairs, "product_id", spread_by="seller_id"), WAREHOUSE["dim_products"])
 
 
 def fact_orders(
