@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tillroll.plans import run as batch
 from tillroll.plans import views
-from tillroll.schemas import RAW, WAREHOUSE
+from tillroll.schemas import RAW, WAREHOUSE, ContractError, conform
 from tillroll.sources.csv_tables import read_tables
-from tillroll.sources.parquet_tables import FACT_PARTITION, WriteFailure, write_catalog, write_folders
+from tillroll.sources.parquet_tables import FACT_PARTITION, WriteFailure, current_paths, drop_old_versions, read_folders, write_catalog, write_folders
 
 FILES = {
     "shop_orders_dataset.csv": """order_status,order_id,customer_id,order_purchase_timestamp,order_approved_at,order_delivered_carrier_date,order_delivered_customer_date,order_estimated_delivery_date
@@ -114,9 +114,10 @@ def test_whole_run(spark, folder, tmp_path):
     assert {tuple(r) for r in people} == {("u1", "SP", 1), ("u1", "RJ", 1)}
     assert spark.sql("select total_orders from v_seller_performance").first()[0] == 1
 
-    month = f"{target}/fact_orders/{FACT_PARTITION}=2018-01"
+    fact_path = current_paths(spark, target)["fact_orders"][1]
+    month = f"{fact_path}/{FACT_PARTITION}=2018-01"
     assert spark.read.parquet(month).count() == 1
-    pruned = spark.read.parquet(f"{target}/fact_orders").filter(F.col(FACT_PARTITION) == "2018-01")
+    pruned = spark.read.parquet(fact_path).filter(F.col(FACT_PARTITION) == "2018-01")
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(purchase_month" in plan
 
@@ -131,7 +132,7 @@ def test_write_skips_empty_and_goes_on_after_a_failure(spark, tmp_path):
     with pytest.raises(WriteFailure) as failure:
         write_folders(tables, str(tmp_path / "out"))
     assert set(failure.value.failures) == {"broken"}
-    assert spark.read.parquet(str(tmp_path / "out" / "good")).count() == 1
+    assert spark.read.parquet(current_paths(spark, str(tmp_path / "out"))["good"][1]).count() == 1
     assert not (tmp_path / "out" / "empty").exists()
 
 
@@ -165,3 +166,42 @@ def test_a_failing_table_does_not_stop_the_fact(spark, tmp_path, monkeypatch):
     assert "payments" in failed.value.failures
     assert {"dim_time", "dim_products", "reviews", "order_items"} <= set(failed.value.written)
     assert "fact_orders" in failed.value.written or "fact_orders" in failed.value.failures
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    folder = str(tmp_path / "w")
+    schema = {"t": spark.createDataFrame([], "a int").schema}
+    old = spark.range(10).selectExpr("cast(id as int) a")
+    assert write_folders({"t": old}, folder) == ["t"]
+    # Fails in the last of many rows, when most of the new version has been written.
+    broken = spark.range(0, 1000, 1, 8).select(F.when(F.col("id") == 999, F.raise_error(F.lit("boom")).cast("int")).otherwise(F.col("id").cast("int")).alias("a"))
+    for _ in range(2):
+        with pytest.raises(WriteFailure):
+            write_folders({"t": broken}, folder, probes={"t": old})
+        assert read_folders(spark, folder, schema)["t"].count() == 10
+    reader = read_folders(spark, folder, schema)["t"]
+    write_folders({"t": old.filter("a < 3")}, folder)
+    assert reader.count() == 10 and read_folders(spark, folder, schema)["t"].count() == 3
+    assert len(drop_old_versions(spark, folder)) == 1
+    assert read_folders(spark, folder, schema)["t"].count() == 3
+    with pytest.raises(FileNotFoundError, match="other"):
+        read_folders(spark, folder, {"other": schema["t"]})
+
+
+def test_contracts_are_held(spark, tmp_path):
+    contract = spark.createDataFrame([], "a string, n bigint, x double").schema
+    good = spark.createDataFrame([("k", 1, 2.0, "more")], "a string, n int, x double, y string")
+    assert conform(good, contract).dtypes == [("a", "string"), ("n", "bigint"), ("x", "double")]
+    for df, says in ((good.drop("a"), "a is missing"), (good.withColumn("x", F.lit("2")), "x is string, not double"), (good.withColumn("n", F.lit(1.5)), "n is double, not bigint")):
+        with pytest.raises(ContractError, match=says):
+            conform(df, contract)
+    assert conform(good.drop("a"), contract, optional=["a"]).columns == ["n", "x"]
+    write_folders({"t": good}, str(tmp_path / "c"))
+    with pytest.raises(ContractError, match="t: n is int, not bigint"):
+        read_folders(spark, str(tmp_path / "c"), {"t": contract})
+
+
+def test_two_data_sets_in_one_folder_are_not_mixed(spark, folder):
+    (folder / "other_orders_dataset.csv").write_text((folder / "shop_orders_dataset.csv").read_text())
+    with pytest.raises(ValueError, match="several files"):
+        read_tables(spark, str(folder))

@@ -9,9 +9,17 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import day_text, floor_days, is_late, second_text, total
 from ..operators.joins import right_skew_join, skew_join
-from ..schemas import WAREHOUSE, conform
+from ..schemas import OPTIONAL_COLUMNS, WAREHOUSE, conform
 
-FACT_PARTS = ("customer", "payment", "items", "review", "time")
+#: What each part of the fact adds to the orders.
+FACT_COLUMNS = {
+    "customer": ("customer_unique_id", "customer_state", "customer_city"),
+    "payment": ("total_payment", "payment_installments", "payment_type"),
+    "items": ("total_items_value", "total_freight", "total_order_value", "item_count"),
+    "review": ("review_score",),
+    "time": ("time_id",),
+}
+FACT_PARTS = tuple(FACT_COLUMNS)
 
 
 def payment_agg(payments: DataFrame) -> DataFrame:
@@ -100,7 +108,9 @@ def dim_products(products: DataFrame, items: DataFrame) -> DataFrame:
     A product that very many sellers sell is split over tasks by its sellers.
     """
     pairs = items.filter(F.col("product_id").isNotNull()).select("product_id", "seller_id").distinct()
-    return conform(right_skew_join(products, pairs, "product_id", spread_by="seller_id"), WAREHOUSE["dim_products"])
+    joined = right_skew_join(products, pairs, "product_id", spread_by="seller_id")
+    optional = {*OPTIONAL_COLUMNS["dim_products"], "product_category_name_english"}
+    return conform(joined, WAREHOUSE["dim_products"], optional)
 
 
 def fact_orders(
@@ -127,7 +137,8 @@ def fact_orders(
     if "customer" in parts:
         customers = clean["customers"].select("customer_id", "customer_unique_id", "customer_state", "customer_city")
         fact = skew_join(fact, customers, "customer_id", spread_by="order_id", counted_in=clean["orders"])
-    return conform(fact, WAREHOUSE["fact_orders"])
+    left_out = {c for part, columns in FACT_COLUMNS.items() if part not in parts for c in columns}
+    return conform(fact, WAREHOUSE["fact_orders"], left_out)
 
 
 def build(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,9 +125,37 @@ FOREIGN_KEYS = (
 )
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the contract's columns in its order and types; a column the input lacks is left out."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name in df.columns])
+#: Columns of the contracts that a data set may lack.
+OPTIONAL_COLUMNS = {
+    "products": ("product_name_lenght", "product_description_lenght", "product_photos_qty"),
+    "dim_products": ("product_name_lenght", "product_description_lenght", "product_photos_qty"),
+    "reviews": ("review_comment_title", "review_comment_message"),
+}
+
+# Casts that lose nothing.
+_WIDER = {T.IntegerType: (T.LongType, T.DoubleType), T.LongType: (T.DoubleType,), T.ShortType: (T.IntegerType, T.LongType)}
+
+
+class ContractError(ValueError):
+    """A table does not hold its contract."""
+
+
+def conform(df: DataFrame, schema: T.StructType, optional: Collection[str] = (), exact: bool = False) -> DataFrame:
+    """The contract's columns in its order and types.
+
+    A column that the input lacks must be in ``optional`` and is left out then. A column of another type fails, but for
+    whole numbers that are widened; with ``exact`` these fail too. Further columns of the input are dropped.
+    """
+    kinds = {f.name: f.dataType for f in df.schema}
+    wrong = [f"{f.name} is missing" for f in schema if f.name not in kinds and f.name not in optional]
+    for f in schema:
+        kind = kinds.get(f.name, f.dataType)
+        widened = not exact and isinstance(f.dataType, _WIDER.get(type(kind), ()))
+        if kind != f.dataType and not widened:
+            wrong.append(f"{f.name} is {kind.simpleString()}, not {f.dataType.simpleString()}")
+    if wrong:
+        raise ContractError("; ".join(wrong))
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name in kinds])
 
 
 def empty(spark, table: str) -> DataFrame:
