@@ -4,7 +4,7 @@ Texts are lower-cased (A-Z), cut into pieces at `[.,;:!?\x0A-\x0D]` and those in
 each language into shards of about `SHARD_WORDS` words, written once to the shared folder. Several passes read them:
 
 1. the word counts of the shards are summed;
-2. for each length from two words on, each shard builds its index over the text that can still hold a frequent phrase of
+2. for each length from two to `SUMMED_WORDS` words, each shard builds its index over the text that can still hold a frequent phrase of
    that length, grows the frequent phrases one word shorter, and gives out 32 bits of a hash and the count of each; these are summed;
 3. each shard builds its index over the text between infrequent pairs, grows patterns up to `max_words` on the right and
    the left in turn, follows those that are frequent, and gives out each with its words, its count and, per side, the one
@@ -43,9 +43,10 @@ MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
 SCORE_SCALE = 1000
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
+SUMMED_WORDS = 3  # phrases up to here are summed by hash first; of longer ones few are left to try
 FILTER_BITS = 1 << 26  # at most 2^32
-HELD_PHRASES = 1 << 20
+HELD_PHRASES = 1 << 18
 RANK_PARTS = 64
 JVM_SEED = 42  # seed of Spark's xxhash64
 
@@ -172,8 +173,13 @@ class _Text:
         self.text = text
 
     def frequent(self, found: Patterns) -> np.ndarray:
+        """Which patterns, or for want of a field of their length their longest parts with one, may be frequent."""
         columns = list(found.words.T)
-        return holds(self.fields[len(columns) - 1], _phrase_hashes(self.hashes, columns))
+        known = min(len(columns), len(self.fields))
+        kept = np.ones(len(found), bool)
+        for i in range(len(columns) - known + 1):
+            kept &= holds(self.fields[known - 1], _phrase_hashes(self.hashes, columns[i : i + known]))
+        return kept
 
     def patterns(self, index: WordIndex, most: int) -> Iterator[Patterns]:
         """Frequent patterns, length by length, growing on the right and the left in turn."""
@@ -283,7 +289,7 @@ def phrase_counts(
     frequent = words.filter(F.col("f") >= min_count).select(F.xxhash64("lang", "phrase").alias("h"))
     fields = [context.broadcast(bit_field(frequent, FILTER_BITS))]
     texts = shards.select("lang", "words", "tokens")
-    for length in range(2, max_words + 1):
+    for length in range(2, min(max_words, SUMMED_WORDS) + 1):
         grams = texts.mapInArrow(_grams(fields, length), "h int, n int").groupBy("h").agg(F.sum("n").alias("n"))
         fields.append(context.broadcast(bit_field(grams.filter(F.col("n") >= min_count).select("h"), FILTER_BITS)))
     # Each task adds up its shards first, so with few tasks a phrase is given out few times.
