@@ -12,7 +12,8 @@ share such a shingle; no pair outside all blocks can be linked.
 Steps. One scan turns each text into (size, set id, group counts, prefix). Equal sets become one class, of which the
 smallest document stands for all. (1) In each block every member is held against the block's leader, which settles groups
 of near copies with as many pairs as members. (2) Blocks that still hold several components join the rest by R-trees,
-only across components. Pairs that pass the bound are verified on the texts, in tasks. Shingles of the frequent sample
+only across components. A pair that shares several blocks is looked at in the first of them. Pairs that pass the bound are verified on the texts,
+in tasks. Shingles of the frequent sample
 have their blocks salted in (1), and blocks of any size are cut into pairs of bounded parts in (2).
 
 Defined cases: no words, empty or null text: empty set, linked with nothing, its own component; one to four words: the
@@ -269,7 +270,7 @@ def _block_keys(table: pa.Table) -> np.ndarray:
 
 
 def _block_pairs(table: pa.Table, first: np.ndarray) -> Iterator[pa.RecordBatch]:
-    counts = table["counts"].to_pylist()
+    counts, before = table["counts"].to_pylist(), [frozenset(x) for x in table["before"].to_pylist()]
     sid, n, comp, part, one, two = (table[c].to_numpy() for c in ("sid", "n", "comp", "part", "one", "two"))
     n = n.astype(np.int64)
     starts = np.unique(first)
@@ -286,13 +287,14 @@ def _block_pairs(table: pa.Table, first: np.ndarray) -> Iterator[pa.RecordBatch]
         right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
         fit = (comp[left] != comp[right]) & sizes_fit(n[left], n[left], n[right], n[right])
         for x, y in np.unique(np.stack([left[fit], right[fit]], axis=1), axis=0):
-            if can_overlap(overlap_bound(counts[x], counts[y]), n[x], n[y]):
+            if before[x].isdisjoint(before[y]) and can_overlap(overlap_bound(counts[x], counts[y]), n[x], n[y]):
                 found.append((np.array([x]), np.array([y])))
     for low, high in zip(starts[~small], ends[~small]):
         rows = np.arange(low, high)
         sides = [rows] if one[low] == two[low] else [rows[part[low:high] == p] for p in (one[low], two[low])]
         for x, y in _tree_join(sides, counts, n):
             fit = comp[x] != comp[y]
+            fit[fit] = [before[i].isdisjoint(before[k]) for i, k in zip(x[fit].tolist(), y[fit].tolist())]
             found.append((x[fit], y[fit]))
     if found:
         x, y = (np.concatenate(side) for side in zip(*found))
@@ -356,7 +358,10 @@ def _open_pairs(live: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFr
         "n",
         "comp",
     )
-    points = cut.join(classes.select("sid", "counts"), "sid")
+    # Every row carries the open blocks of its set that come before, so that a pair comes out of its first block alone.
+    met = rows.groupBy("sid").agg(F.collect_list("token").alias("met"))
+    described = classes.select("sid", "counts").join(met, "sid")
+    points = cut.join(described, "sid").withColumn("before", F.filter("met", lambda t: t < F.col("token"))).drop("met")
     blocks = points.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two")
     return blocks.mapInArrow(_tree_pairs, "a long, b long").distinct()
 
