@@ -15,8 +15,8 @@ as a field of `FILTER_BITS` bits addressed by hash, of one size whatever the cor
 through, and the last step counts phrases by their words. A phrase lies inside a longer one of the same count exactly
 when one word stands beside all its occurrences, in all shards; that settles which candidates are dropped without a join.
 
-Scale: shards are bounded, so is the memory of a task. The last step runs in a few tasks per core; each adds up its shards
-before it gives a phrase out. Ranking sorts parts of a language first and then the best of the parts.
+Scale: shards are bounded, so is the memory of a task. In the last step each task adds up its shards before it gives a phrase
+out. Ranking sorts parts of a language first and then the best of the parts.
 
 Defined cases: a null text is empty, a null language `und`; a table without candidates gives an empty result; repeated
 rows count each time; further columns are ignored.
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.bit_fields import bit_field, holds
-from tillroll.llm.common import staged, text_or_empty
+from tillroll.llm.common import lean, staged, text_or_empty
 from tillroll.llm.word_grams import BASE, mixed
 from tillroll.llm.word_index import Patterns, WordIndex
 
@@ -118,7 +118,7 @@ def pack(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", shard_
         F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
         text_or_empty(F.col(text_col)).cast("binary").alias("text"),
     )
-    return staged(texts.mapInArrow(_pack(shard_words), SHARDS), "phrase-shards", compression="zstd")
+    return staged(texts.mapInArrow(lean(_pack(shard_words)), SHARDS), "phrase-shards", compression="zstd")
 
 
 def _word_hashes(lang: str, words: pa.Array) -> np.ndarray:
@@ -163,10 +163,10 @@ class _Text:
     """A shard's text with 0 in place of words, and between words, that cannot be part of a frequent phrase."""
 
     def __init__(self, row: dict, fields: list[np.ndarray], cut_to: int) -> None:
-        self.names, self.fields = pa.array(row["words"], pa.string()), fields
+        self.names, self.fields = row["words"], fields
         self.hashes = np.concatenate([[np.uint64(0)], _word_hashes(row["lang"], self.names)])
         allowed = np.concatenate([[False], holds(fields[0], self.hashes[1:])])
-        text = np.frombuffer(row["tokens"], np.int32).astype(np.int64)
+        text = row["tokens"].astype(np.int64)
         text = _closed_up(np.where(allowed[text], text, 0))
         for length in range(2, cut_to + 1):
             text = _kept_links(text, self.hashes, fields[length - 1], length)
@@ -193,7 +193,8 @@ class _Text:
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for i in range(batch.num_rows):
-            yield {name: batch.column(name)[i].as_py() for name in ("lang", "words", "tokens")}
+            lang, words, tokens = (batch.column(name)[i] for name in ("lang", "words", "tokens"))
+            yield {"lang": lang.as_py(), "words": words.values, "tokens": np.frombuffer(tokens.as_buffer(), np.int32)}
 
 
 def _grams(fields: list, length: int):
@@ -290,11 +291,9 @@ def phrase_counts(
     fields = [context.broadcast(bit_field(frequent, FILTER_BITS))]
     texts = shards.select("lang", "words", "tokens")
     for length in range(2, min(max_words, SUMMED_WORDS) + 1):
-        grams = texts.mapInArrow(_grams(fields, length), "h int, n int").groupBy("h").agg(F.sum("n").alias("n"))
+        grams = texts.mapInArrow(lean(_grams(fields, length)), "h int, n int").groupBy("h").agg(F.sum("n").alias("n"))
         fields.append(context.broadcast(bit_field(grams.filter(F.col("n") >= min_count).select("h"), FILTER_BITS)))
-    # Each task adds up its shards first, so with few tasks a phrase is given out few times.
-    together = texts.coalesce(2 * context.defaultParallelism)
-    found = together.mapInArrow(_phrases(fields, max_words), PHRASES)
+    found = texts.mapInArrow(lean(_phrases(fields, max_words)), PHRASES)
 
     def always(side: str):
         return (F.min(side) == F.max(side)) & (F.min(side) != "")
