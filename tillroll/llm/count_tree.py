@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 
 FANOUT = 16
-CHUNK = 1 << 14
+CHUNK = 1 << 12
 
 
 def can_overlap(overlap, size_a, size_b) -> np.ndarray:

@@ -28,11 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import first_of, staged
+from tillroll.llm.common import first_of, lean, staged
 from tillroll.llm.components import components
 from tillroll.llm.count_tree import CountTree, can_overlap, sizes_fit
 from tillroll.llm.word_grams import WordHashes, gram_hashes, hashed_words, mixed
@@ -183,7 +184,7 @@ def described(keyed: DataFrame, frequent: np.ndarray) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc", "body", "n", "sid", "counts", "prefix"])
 
-    return keyed.mapInArrow(describe, SETS)
+    return keyed.mapInArrow(lean(describe), SETS)
 
 
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,12 +224,12 @@ def _with_classes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def links_of(pairs: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
     """The pairs (a, b) of set ids that are links: bounded by group counts, then verified on the texts."""
-    close = staged(_with_classes(pairs, classes).mapInArrow(_bounded, PAIRS), "jaccard-pairs")
+    close = staged(_with_classes(pairs, classes).mapInArrow(lean(_bounded), PAIRS), "jaccard-pairs")
     for side in ("b", "a"):
         texts = keyed.select(*[F.col(c).alias(f"{side}_{c}") for c in ("doc", "body", "bytes")])
         close = close.join(texts, [f"{side}_doc", f"{side}_body"])
     texts = close.select("a", "b", "a_bytes", "b_bytes")
-    return staged(texts.mapInArrow(_verified, "a long, b long").distinct(), "jaccard-links")
+    return staged(texts.mapInArrow(lean(_verified), "a long, b long").distinct(), "jaccard-links")
 
 
 def _star_pairs(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -270,7 +271,13 @@ def _block_keys(table: pa.Table) -> np.ndarray:
 
 
 def _block_pairs(table: pa.Table, first: np.ndarray) -> Iterator[pa.RecordBatch]:
-    counts, before = table["counts"].to_pylist(), [frozenset(x) for x in table["before"].to_pylist()]
+    counts, lists = table["counts"].to_pylist(), table["before"].combine_chunks()
+    values, cuts = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(pa.compute.list_value_length(lists).to_numpy())])
+
+    def met_before(x: int, y: int) -> bool:
+        one, other = values[cuts[x] : cuts[x + 1]], values[cuts[y] : cuts[y + 1]]
+        return not set(one.tolist()).isdisjoint(other.tolist())
+
     sid, n, comp, part, one, two = (table[c].to_numpy() for c in ("sid", "n", "comp", "part", "one", "two"))
     n = n.astype(np.int64)
     starts = np.unique(first)
@@ -287,14 +294,14 @@ def _block_pairs(table: pa.Table, first: np.ndarray) -> Iterator[pa.RecordBatch]
         right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
         fit = (comp[left] != comp[right]) & sizes_fit(n[left], n[left], n[right], n[right])
         for x, y in np.unique(np.stack([left[fit], right[fit]], axis=1), axis=0):
-            if before[x].isdisjoint(before[y]) and can_overlap(overlap_bound(counts[x], counts[y]), n[x], n[y]):
+            if not met_before(x, y) and can_overlap(overlap_bound(counts[x], counts[y]), n[x], n[y]):
                 found.append((np.array([x]), np.array([y])))
     for low, high in zip(starts[~small], ends[~small]):
         rows = np.arange(low, high)
         sides = [rows] if one[low] == two[low] else [rows[part[low:high] == p] for p in (one[low], two[low])]
         for x, y in _tree_join(sides, counts, n):
             fit = comp[x] != comp[y]
-            fit[fit] = [before[i].isdisjoint(before[k]) for i, k in zip(x[fit].tolist(), y[fit].tolist())]
+            fit[fit] = [not met_before(i, k) for i, k in zip(x[fit].tolist(), y[fit].tolist())]
             found.append((x[fit], y[fit]))
     if found:
         x, y = (np.concatenate(side) for side in zip(*found))
@@ -363,7 +370,7 @@ def _open_pairs(live: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFr
     described = classes.select("sid", "counts").join(met, "sid")
     points = cut.join(described, "sid").withColumn("before", F.filter("met", lambda t: t < F.col("token"))).drop("met")
     blocks = points.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two")
-    return blocks.mapInArrow(_tree_pairs, "a long, b long").distinct()
+    return blocks.mapInArrow(lean(_tree_pairs), "a long, b long").distinct()
 
 
 def _linked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
