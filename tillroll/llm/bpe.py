@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.llm.common import lean
+
 VOCABULARY = "word_bpe_49k.json"
 BLOCK_CHARS = 8 << 20
 KNOWN_WORDS = 300_000
@@ -264,4 +266,4 @@ def encode(
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
                 low = high
 
-    return packed.mapInArrow(run, schema)
+    return packed.mapInArrow(lean(run), schema)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +43,29 @@ def first_of(packed: DataFrame, *keys: str) -> DataFrame:
     return packed.groupBy(*keys).agg(F.min_by("whole", own).alias("whole"))
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def give_back() -> None:
+    """Return memory that this process has freed to the system; Python workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(scan: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """The same scan over batches; when a task is through with it, its memory does not stay with the worker."""
+
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from scan(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

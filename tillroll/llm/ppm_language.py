@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.llm.common import lean
+
 UNKNOWN = "und"
 MAX_ORDER = 3
 SAMPLE_DOCS = 3000
@@ -125,7 +127,7 @@ def train(
     draw = F.pmod(F.xxhash64(F.lit(SEED), F.col("id"), F.col("text")), F.lit(1 << 30)) / float(1 << 30)
     sample = labelled.filter(draw < share[F.col("lang")])
     bodies = sample.select(code[F.col("lang")].alias("lang"), F.col("text").cast("binary").alias("body"))
-    summed = bodies.mapInArrow(_gram_counts, "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    summed = bodies.mapInArrow(lean(_gram_counts), "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # One row per byte context of the sample, as columns; the text of a language name never travels.
     counts = summed.toArrow()
     return build_model(languages, *(counts[c].to_numpy() for c in ("lang", "gram", "n")))
@@ -210,4 +212,4 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[s
                 ["whole", "lang_pred", "score"],
             )
 
-    return packed.mapInArrow(score, schema)
+    return packed.mapInArrow(lean(score), schema)
