@@ -293,7 +293,9 @@ def phrase_counts(
     for length in range(2, min(max_words, SUMMED_WORDS) + 1):
         grams = texts.mapInArrow(lean(_grams(fields, length)), "h int, n int").groupBy("h").agg(F.sum("n").alias("n"))
         fields.append(context.broadcast(bit_field(grams.filter(F.col("n") >= min_count).select("h"), FILTER_BITS)))
-    found = texts.mapInArrow(lean(_phrases(fields, max_words)), PHRASES)
+    # Each task adds up its shards first, so with few tasks a phrase is given out few times.
+    together = texts.coalesce(2 * context.defaultParallelism)
+    found = together.mapInArrow(lean(_phrases(fields, max_words)), PHRASES)
 
     def always(side: str):
         return (F.min(side) == F.max(side)) & (F.min(side) != "")
