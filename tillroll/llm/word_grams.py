@@ -7,7 +7,7 @@ import re
 import numpy as np
 import xxhash
 
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 INVERSE = pow(BASE, -1, 1 << 64)
