@@ -12,7 +12,7 @@ share such a shingle; no pair outside all blocks can be linked.
 Steps. One scan turns each text into (size, set id, group counts, prefix). Equal sets become one class, of which the
 smallest document stands for all. (1) In each block every member is held against the block's leader, which settles groups
 of near copies with as many pairs as members. (2) Blocks that still hold several components join the rest by R-trees,
-only across components. A pair that shares several blocks is looked at in the first of them. Pairs that pass the bound are verified on the texts,
+only across components. A pair that shares several blocks is mostly looked at in the first of them alone. Pairs that pass the bound are verified on the texts,
 in tasks. Shingles of the frequent sample
 have their blocks salted in (1), and blocks of any size are cut into pairs of bounded parts in (2).
 
@@ -48,6 +48,7 @@ SAMPLE_DOCS = 4000
 FREQUENT_IN_SAMPLE = 4
 FREQUENT = 50_000
 SALTS = 16
+FIRST_BLOCKS = 16  # a matter of cost alone
 PART_ROWS = 2048
 LEAF_ROWS = 32
 SEED = 10
@@ -365,8 +366,10 @@ def _open_pairs(live: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFr
         "n",
         "comp",
     )
-    # Every row carries the open blocks of its set that come before, so that a pair comes out of its first block alone.
-    met = rows.groupBy("sid").agg(F.collect_list("token").alias("met"))
+    # Every row carries the first open blocks of its set, so that a pair comes out of the first block of both alone. Where
+    # two sets share later blocks only, the pair may come out of several; it is made distinct below.
+    first = F.slice(F.sort_array(F.collect_list("token")), 1, FIRST_BLOCKS)
+    met = rows.groupBy("sid").agg(first.alias("met"))
     described = classes.select("sid", "counts").join(met, "sid")
     points = cut.join(described, "sid").withColumn("before", F.filter("met", lambda t: t < F.col("token"))).drop("met")
     blocks = points.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two")
