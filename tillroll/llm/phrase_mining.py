@@ -261,7 +261,7 @@ def _phrases(fields: list, max_words: int):
             held += counted(row)
             if sum(t.num_rows for t in held) > HELD_PHRASES:
                 held = [_merged(held)]
-                if held[0].num_rows > HELD_PHRASES // 2:
+                if held[0].num_rows > HELD_PHRASES * 3 // 4:
                     yield from held.pop().to_batches()
         if held:
             yield from _merged(held).to_batches()
