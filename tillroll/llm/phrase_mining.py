@@ -15,7 +15,7 @@ as a field of `FILTER_BITS` bits addressed by hash, of one size whatever the cor
 through, and the last step counts phrases by their words. A phrase lies inside a longer one of the same count exactly
 when one word stands beside all its occurrences, in all shards; that settles which candidates are dropped without a join.
 
-Scale: shards are bounded, so is the memory of a task. In the last step each task adds up its shards before it gives a phrase
+Scale: shards are bounded and reach Python a few at a time, so the memory of a task is bounded. In the last step each task adds up its shards before it gives a phrase
 out. Ranking sorts parts of a language first and then the best of the parts.
 
 Defined cases: a null text is empty, a null language `und`; a table without candidates gives an empty result; repeated
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.bit_fields import bit_field, holds
-from tillroll.llm.common import lean, staged, text_or_empty
+from tillroll.llm.common import arrow_rows, lean, staged, text_or_empty
 from tillroll.llm.word_grams import BASE, mixed
 from tillroll.llm.word_index import Patterns, WordIndex
 
@@ -47,6 +47,7 @@ SHARD_WORDS = 1 << 19
 SUMMED_WORDS = 3  # phrases up to here are summed by hash first; of longer ones few are left to try
 FILTER_BITS = 1 << 26  # at most 2^32
 HELD_PHRASES = 1 << 18
+BATCH_SHARDS = 2  # shards that travel to Python at once, a few megabytes each
 RANK_PARTS = 64
 JVM_SEED = 42  # seed of Spark's xxhash64
 
@@ -292,7 +293,9 @@ def phrase_counts(
     texts = shards.select("lang", "words", "tokens")
     for length in range(2, min(max_words, SUMMED_WORDS) + 1):
         grams = texts.mapInArrow(lean(_grams(fields, length)), "h int, n int").groupBy("h").agg(F.sum("n").alias("n"))
-        fields.append(context.broadcast(bit_field(grams.filter(F.col("n") >= min_count).select("h"), FILTER_BITS)))
+        with arrow_rows(docs.sparkSession, BATCH_SHARDS):
+            field = bit_field(grams.filter(F.col("n") >= min_count).select("h"), FILTER_BITS)
+        fields.append(context.broadcast(field))
     # Each task adds up its shards first, so with few tasks a phrase is given out few times.
     together = texts.coalesce(2 * context.defaultParallelism)
     found = together.mapInArrow(lean(_phrases(fields, max_words)), PHRASES)
@@ -303,7 +306,8 @@ def phrase_counts(
     summed = found.groupBy("lang", "phrase", "size").agg(
         F.sum("n").alias("a"), (always("left") | always("right")).alias("inner")
     )
-    candidates = staged(summed.filter(F.col("a") >= min_count), "phrase-candidates")
+    with arrow_rows(docs.sparkSession, BATCH_SHARDS):
+        candidates = staged(summed.filter(F.col("a") >= min_count), "phrase-candidates")
     for field in fields:
         field.unpersist()
     return words, candidates
