@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tillroll.functions.columns import digestible, row_digest
 from tillroll.operators import profile
 from tillroll.operators.dedup import keep_first
 from tillroll.operators.histogram import histogram
@@ -151,6 +152,31 @@ def test_duplicates_treat_null_as_equal(spark):
     assert [tuple(r) for r in profile.duplicate_keys(df, "t", "k").collect()] == [("t", "a", 3)]
 
 
+def test_duplicates_are_not_fooled_by_look_alikes(spark):
+    """Rows that read alike when joined up, nulls and their names, both zeros, NaN, and types without a digest."""
+    zero, nan = 0.0, float("nan")
+    rows = [
+        (1, "a", "bc", zero, [1]), (1, "ab", "c", zero, [1]), (1, "a", "bc", -zero, [1]), (1, "1:a", "", zero, [1]),
+        (1, "", "1:a", zero, [1]), (1, None, "null,", zero, [1]), (1, "null,", None, zero, [1]), (1, None, None, nan, [1]),
+        (1, None, None, nan, [1]), (1, "a", "bc", zero, [2]), (2, "a", "bc", zero, [1]), (1, "a", "bc", None, [1]),
+    ]
+    df = spark.createDataFrame(rows, "k int, s string, t string, d double, l array<int>").repartition(3)
+    assert tuple(profile.duplicate_check(df, "t", "k").first()) == ("t", "k", 2, 10)
+    assert df.count() - df.distinct().count() == 2
+
+
+def test_row_digest_groups_like_the_columns(spark):
+    rng = random.Random(5)
+    texts = [None, "", "0", "1:0", "null,", "é", "0:"]
+    rows = [(rng.choice(texts), rng.choice(texts), rng.choice([None, 0.0, -0.0, 1.5])) for _ in range(600)]
+    df = spark.createDataFrame(rows, "a string, b string, c double").selectExpr(
+        "a", "b", "c", "cast(c as decimal(9, 2)) d", "timestamp_micros(cast(c as bigint)) t", "cast(c as float) f"
+    )
+    assert all(digestible(kind) for _, kind in df.dtypes)
+    told = df.withColumn("h", row_digest(df.dtypes))
+    assert told.select("h").distinct().count() == df.distinct().count() == told.distinct().count()
+
+
 def test_value_counts_keep_null(spark):
     df = column(spark, ["b", "a", "a", None, "b", "c"], "string")
     assert [tuple(r)[2:] for r in profile.value_counts(df, "t", "x").collect()] == [("a", 2), ("b", 2), ("c", 1), (None, 1)]

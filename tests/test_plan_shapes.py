@@ -115,6 +115,27 @@ def test_results_do_not_depend_on_partitioning(spark):
         assert a == b
 
 
+def _exchanged(node):
+    """The columns that each exchange of a physical plan carries."""
+    if node.nodeName() == "AdaptiveSparkPlan":
+        node = node.initialPlan()
+    if node.nodeName() == "Exchange":
+        output = node.output()
+        yield {output.apply(i).name() for i in range(output.size())}
+    children = node.children()
+    for i in range(children.size()):
+        yield from _exchanged(children.apply(i))
+
+
+def test_full_row_duplicates_shuffle_narrow_rows(spark):
+    from tillroll.operators import profile
+
+    wide = spark.range(100).selectExpr("id % 9 k", *[f"repeat(cast(id % 7 as string), 50 + {i}) c{i}" for i in range(8)])
+    carried = list(_exchanged(profile.duplicate_check(wide, "t", "k")._jdf.queryExecution().executedPlan()))
+    assert carried and not [c for columns in carried for c in columns if c.startswith("c") and c[1:].isdigit()]
+    assert any("_row" in columns for columns in carried)
+
+
 def test_orphans_shuffle_each_side_once(spark):
     from tillroll.operators.joins import orphan_counts
 
