@@ -223,14 +223,22 @@ def _with_classes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs
 
 
+def texts_of(close: DataFrame, keyed: DataFrame) -> DataFrame:
+    """(doc, body, bytes) of the documents in the pairs, once each: rows that repeat id and text, or lack an id, add nothing."""
+    sides = [close.select(F.col(f"{side}_doc").alias("doc"), F.col(f"{side}_body").alias("body")) for side in ("a", "b")]
+    wanted = sides[0].union(sides[1]).distinct()
+    return keyed.join(wanted, ["doc", "body"], "left_semi").dropDuplicates(["doc", "body"])
+
+
 def links_of(pairs: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
     """The pairs (a, b) of set ids that are links: bounded by group counts, then verified on the texts."""
     close = staged(_with_classes(pairs, classes).mapInArrow(lean(_bounded), PAIRS), "jaccard-pairs")
+    texts = texts_of(close, keyed)
     for side in ("b", "a"):
-        texts = keyed.select(*[F.col(c).alias(f"{side}_{c}") for c in ("doc", "body", "bytes")])
-        close = close.join(texts, [f"{side}_doc", f"{side}_body"])
-    texts = close.select("a", "b", "a_bytes", "b_bytes")
-    return staged(texts.mapInArrow(lean(_verified), "a long, b long").distinct(), "jaccard-links")
+        named = texts.select(*[F.col(c).alias(f"{side}_{c}") for c in ("doc", "body", "bytes")])
+        close = close.join(named, [f"{side}_doc", f"{side}_body"])
+    both = close.select("a", "b", "a_bytes", "b_bytes")
+    return staged(both.mapInArrow(lean(_verified), "a long, b long").distinct(), "jaccard-links")
 
 
 def _star_pairs(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
