@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from tillroll.llm import count_tree, exact_dedup, jaccard_join, substring_dedup
 from tillroll.llm.components import components
@@ -132,21 +131,6 @@ def test_near(docs, messy, small_parts, monkeypatch):
     assert brute.ordered(jaccard_join.join(docs).collect()) == brute.ordered(brute.near(messy))
 
 
-def test_rows_of_one_id_and_text_bring_it_once(spark):
-    """Hundreds of rows without an id, of two near texts: one pair, two texts, one component."""
-    words = [f"w{i}" for i in range(120)]
-    texts = [" ".join(words), " ".join([*words[:-1], "end"])]
-    rows = [(None, t) for t in texts for _ in range(300)] + [(5, texts[0]), (5, "nothing like the others here")] * 2
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    assert brute.ordered(jaccard_join.join(docs).collect()) == brute.ordered(brute.near(rows))
-    keyed = jaccard_join._keyed(docs, "doc_id", "text")
-    pair = keyed.groupBy().agg(
-        *[F.min_by(c, F.struct("doc", "body")).alias(f"a_{c}") for c in ("doc", "body")],
-        *[F.max_by(c, F.struct("doc", "body")).alias(f"b_{c}") for c in ("doc", "body")],
-    )
-    assert jaccard_join.texts_of(pair, keyed).count() == 2
-
-
 def test_near_rows(docs, messy):
     kept = jaccard_join.keep_one(docs)
     assert kept.columns == docs.columns
