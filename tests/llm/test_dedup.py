@@ -131,6 +131,17 @@ def test_near(docs, messy, small_parts, monkeypatch):
     assert brute.ordered(jaccard_join.join(docs).collect()) == brute.ordered(brute.near(messy))
 
 
+def test_rows_of_one_id_and_text_bring_it_once(spark):
+    """Hundreds of rows without an id, of two near texts: each text once, one component."""
+    words = [f"w{i}" for i in range(120)]
+    texts = [" ".join(words), " ".join([*words[:-1], "end"])]
+    rows = [(None, t) for t in texts for _ in range(300)] + [(5, texts[0]), (5, "nothing like the others here")] * 2 + [(6, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert brute.ordered(jaccard_join.join(docs).collect()) == brute.ordered(brute.near(rows))
+    keyed = jaccard_join._keyed(docs, "doc_id", "text")
+    assert jaccard_join.texts_of(keyed, keyed.select("doc", "body")).count() == 5
+
+
 def test_near_rows(docs, messy):
     kept = jaccard_join.keep_one(docs)
     assert kept.columns == docs.columns

@@ -223,6 +223,17 @@ def _with_classes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs
 
 
+def texts_of(keyed: DataFrame, sets: DataFrame) -> DataFrame:
+    """`keyed` with one row for each (doc, body), for `sets` of the same rows.
+
+    Only rows that repeat id and text, or lack an id, are grouped; the narrow `sets` tell which. All others pass untouched.
+    """
+    again = sets.groupBy("doc", "body").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc", "body")
+    again = staged(again, "jaccard-repeated")
+    once = keyed.join(again, ["doc", "body"], "left_anti")
+    return once.union(keyed.join(again, ["doc", "body"], "left_semi").dropDuplicates(["doc", "body"]))
+
+
 def links_of(pairs: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
     """The pairs (a, b) of set ids that are links: bounded by group counts, then verified on the texts."""
     close = staged(_with_classes(pairs, classes).mapInArrow(lean(_bounded), PAIRS), "jaccard-pairs")
@@ -383,6 +394,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     sets = staged(described(keyed, frequent), "jaccard-sets")
     first = sets.filter("n > 0").groupBy("sid").agg(F.min(F.struct("doc", "body", "n", "counts")).alias("first"))
     classes = staged(first.select("sid", "first.*"), "jaccard-classes")
+    texts = texts_of(keyed, sets)
     tokens = sets.select("sid", "n", F.explode("prefix").alias("token"))
     if len(frequent):
         hot = docs.sparkSession.createDataFrame([(int(x),) for x in frequent.view(np.int64)], "token long")
@@ -393,11 +405,11 @@ def _linked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     tokens = tokens.select("token", salt.cast("int").alias("salt"), "sid", "n")
     stars, live = _star_pairs(tokens)
     tested = staged(stars, "jaccard-stars")
-    links = links_of(tested, classes, keyed)
+    links = links_of(tested, classes, texts)
     roots = components(links)
     more = _open_pairs(live, roots, classes)
     ordered = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = links.union(links_of(more.join(ordered, ["a", "b"], "left_anti"), classes, keyed))
+    links = links.union(links_of(more.join(ordered, ["a", "b"], "left_anti"), classes, texts))
     return labelled(sets, classes, components(links))
 
 
