@@ -2,12 +2,15 @@
 
 import hashlib
 import itertools
+import random
+import tracemalloc
 import zipfile
 
 import brute
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.fs
 import pytest
 from pyspark.sql import functions as F
@@ -150,3 +153,26 @@ def test_broken_packages(tmp_path):
     system, local = pyarrow.fs.FileSystem.from_uri(str(path))
     with system.open_input_file(local) as file, pytest.raises(ValueError, match="no end of central directory"):
         warc_zip.read_directory(file)
+
+
+def test_bpe_holds_one_batch_and_a_bounded_block():
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(500)) for _ in range(900)]
+    coder = bpe.load(public_tokenizers.path(bpe.VOCABULARY))
+    start = pa.total_allocated_bytes()
+    before, rows = [], 0
+
+    def batches():
+        for _ in range(2):
+            before.append(pa.total_allocated_bytes() - start)
+            yield pa.RecordBatch.from_pylist([{"whole": {"d": i}, "body": t} for i, t in enumerate(texts)])
+
+    tracemalloc.start()
+    for batch in bpe.encoded(coder, batches(), list("wnabi"), True, False):
+        rows += batch.num_rows
+        del batch
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 2 * len(texts) and before == [0, 0]
+    # Over three million characters a batch: 306 MB in blocks of eight million, 127 MB in blocks of one.
+    assert peak < 250e6, peak

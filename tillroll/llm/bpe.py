@@ -33,8 +33,9 @@ from pyspark.sql import types as T
 from tillroll.llm.common import lean
 
 VOCABULARY = "word_bpe_49k.json"
-BLOCK_CHARS = 8 << 20
-KNOWN_WORDS = 300_000
+# Bounds on memory: a block's words and chain cost some 40 bytes a character, a word of the table some 400 bytes.
+BLOCK_CHARS = 1 << 20
+KNOWN_WORDS = 150_000
 NO_RANK = 1 << 30
 GONE = -1
 NOWHERE = np.zeros(0, dtype=np.int64)
@@ -202,6 +203,46 @@ def load(path: str) -> WordBpe:
         return WordBpe(json.load(file))
 
 
+def encoded(
+    coder: WordBpe, batches: Iterator[pa.RecordBatch], names: list[str], with_ids: bool, with_text: bool
+) -> Iterator[pa.RecordBatch]:
+    """The rows of `encode` for batches (whole, body), block by block; one batch and one block are held at a time."""
+    for batch in batches:
+        low = 0
+        while low < batch.num_rows:
+            high, chars = low, 0
+            texts = []
+            while high < batch.num_rows and (chars < BLOCK_CHARS or not texts):
+                texts.append(batch.column(1)[high].as_py())
+                chars += len(texts[-1])
+                high += 1
+            counts, id_digests, text_digests, ids, decoded = [], [], [], [], []
+            for raw, text in coder.encode_block(texts):
+                counts.append(len(raw) // 4)
+                id_digests.append(hashlib.sha256(raw).hexdigest())
+                text_digests.append(hashlib.sha256(text.encode()).hexdigest())
+                if with_ids:
+                    ids.append(np.frombuffer(raw, dtype="<u4").astype(np.int32))
+                if with_text:
+                    decoded.append(text)
+            columns = [
+                batch.column(0).slice(low, high - low),
+                pa.array(counts, pa.int64()),
+                pa.array(id_digests, pa.string()),
+                pa.array(text_digests, pa.string()),
+            ]
+            if with_ids:
+                columns.append(pa.array(ids, pa.list_(pa.int32())))
+            if with_text:
+                columns.append(pa.array(decoded, pa.string()))
+            del texts, ids, decoded
+            yield pa.RecordBatch.from_arrays(columns, names)
+            # Columns of a batch share its memory, which goes before the next batch comes.
+            del columns
+            low = high
+        del batch
+
+
 def encode(
     docs: DataFrame,
     vocabulary: str,
@@ -234,36 +275,6 @@ def encode(
     schema = T.StructType([packed.schema["whole"], *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = load(SparkFiles.get(name))
-        for batch in batches:
-            low = 0
-            while low < batch.num_rows:
-                high, chars = low, 0
-                texts = []
-                while high < batch.num_rows and (chars < BLOCK_CHARS or not texts):
-                    texts.append(batch.column(1)[high].as_py())
-                    chars += len(texts[-1])
-                    high += 1
-                counts, id_digests, text_digests, ids, decoded = [], [], [], [], []
-                for raw, text in coder.encode_block(texts):
-                    counts.append(len(raw) // 4)
-                    id_digests.append(hashlib.sha256(raw).hexdigest())
-                    text_digests.append(hashlib.sha256(text.encode()).hexdigest())
-                    if with_ids:
-                        ids.append(np.frombuffer(raw, dtype="<u4").astype(np.int32))
-                    if with_text:
-                        decoded.append(text)
-                columns = [
-                    batch.column(0).slice(low, high - low),
-                    pa.array(counts, pa.int64()),
-                    pa.array(id_digests, pa.string()),
-                    pa.array(text_digests, pa.string()),
-                ]
-                if with_ids:
-                    columns.append(pa.array(ids, pa.list_(pa.int32())))
-                if with_text:
-                    columns.append(pa.array(decoded, pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, schema.names)
-                low = high
+        yield from encoded(load(SparkFiles.get(name)), batches, schema.names, with_ids, with_text)
 
     return packed.mapInArrow(lean(run), schema)
