@@ -5,8 +5,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tillroll.plans import round_trip, views
 from tillroll.plans import run as batch
-from tillroll.plans import views
 from tillroll.schemas import RAW, WAREHOUSE, ContractError, conform
 from tillroll.sources.csv_tables import read_tables
 from tillroll.sources.parquet_tables import FACT_PARTITION, WriteFailure, current_paths, drop_old_versions, read_folders, write_catalog, write_folders
@@ -205,3 +205,28 @@ def test_two_data_sets_in_one_folder_are_not_mixed(spark, folder):
     (folder / "other_orders_dataset.csv").write_text((folder / "shop_orders_dataset.csv").read_text())
     with pytest.raises(ValueError, match="several files"):
         read_tables(spark, str(folder))
+
+
+def test_cheap_probes_spare_the_others(spark, tmp_path):
+    old, none = spark.range(3), spark.range(0)
+    dear = spark.range(3).filter(F.raise_error(F.lit("looked at")).isNull())
+    assert write_folders({"t": old}, str(tmp_path / "a"), probes={"t": (old, dear)}) == ["t"]
+    assert write_folders({"t": old}, str(tmp_path / "b"), probes={"t": (none, old)}) == ["t"]
+    assert write_folders({"t": none}, str(tmp_path / "c"), probes={"t": (none, none)}) == []
+
+
+def test_reviews_are_found_by_few_of_them_or_all(spark, folder, tmp_path, monkeypatch):
+    monkeypatch.setattr(batch, "PROBED_SHARE", 1 << 40)  # no review id is among the few
+    assert batch.run(spark, str(folder), str(tmp_path / "w"))["reviews"].count() > 0
+
+
+def test_files_of_the_batch_run_are_compressed(spark, folder, tmp_path):
+    raw = read_tables(spark, str(folder))
+    round_trip.write_csv(raw, str(tmp_path / "written"))
+    parts = [p for p in (tmp_path / "written").rglob("part-*")]
+    assert parts and all(p.name.endswith(".csv.gz") for p in parts)
+    again = read_tables(spark, str(tmp_path / "written"))
+    assert all(sorted(map(str, again[t].collect())) == sorted(map(str, raw[t].collect())) for t in again)
+    batch.run(spark, str(tmp_path / "written"), str(tmp_path / "w"))
+    written = [p for p in (tmp_path / "w").rglob("part-*.parquet") if "manifest" not in p.parts]
+    assert written and all(".zstd." in p.name for p in written)
