@@ -14,7 +14,7 @@ from tillroll.operators.dedup import keep_first
 from tillroll.operators.histogram import histogram
 from tillroll.operators.joins import hot_keys, repeat_copies, right_skew_join, skew_join, split_copies
 from tillroll.operators.moments import correlation_matrix, correlations, pearson, pooled_t
-from tillroll.operators.presence import Reference, broken_references
+from tillroll.operators.presence import Reference, broken_references, key_presence
 from tillroll.operators.quantiles import capped_summary, quantile_row, quantiles
 
 P = (0.0, 0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0)
@@ -177,6 +177,22 @@ def test_row_digest_groups_like_the_columns(spark):
     assert told.select("h").distinct().count() == df.distinct().count() == told.distinct().count()
 
 
+def test_rows_are_told_by_numbers_alone(spark, capsys):
+    df = spark.createDataFrame([(1, 0.5, "a")], "k int, d double, s string")
+    told = df.select(row_digest(df.dtypes).alias("h")).schema["h"].dataType
+    assert [f.dataType.simpleString() for f in told] == ["bigint", "bigint"]
+    profile.duplicate_check(df, "t", "k").explain(True)
+    plan = capsys.readouterr().out
+    assert "sha2" not in plan and "as string" not in plan
+
+
+def test_domains_are_numbers(spark):
+    tables = {"a": spark.createDataFrame([("x",), ("y",), (None,)], "k string"), "b": spark.createDataFrame([("x",)], "k string")}
+    frame, names, numbers = key_presence(tables, [Reference("r", "a", "k", "b", "k")], [("a", "k")], [("b", "k")])
+    assert dict(frame.dtypes)["domain"] == "int" and numbers == {"b.k": 0}
+    assert {(r["domain"], r["key"], r[names["a", "k"]], r[names["b", "k"]]) for r in frame.collect()} == {(0, "x", 1, 1), (0, "y", 1, 0), (0, None, 1, 0)}
+
+
 def test_value_counts_keep_null(spark):
     df = column(spark, ["b", "a", "a", None, "b", "c"], "string")
     assert [tuple(r)[2:] for r in profile.value_counts(df, "t", "x").collect()] == [("a", 2), ("b", 2), ("c", 1), (None, 1)]

@@ -1,7 +1,7 @@
 """References between tables, all answered by one aggregate over key presence.
 
-Every table is read once and gives its tracked columns as narrow rows (domain, key, where). Rows are counted per key already
-in the map tasks, so a key of any frequency costs one row per task; after one shuffle a key knows how often each child
+Every table is read once and gives its tracked columns as narrow rows (number of the domain, key, where). Rows are counted
+per key already in the map tasks, so a key of any frequency costs one row per task; after one shuffle a key knows how often each child
 column holds it and whether the parent does.
 """
 
@@ -32,10 +32,11 @@ def key_presence(
     references: Sequence[Reference],
     required: Sequence[tuple[str, str]] = (),
     counted: Sequence[tuple[str, str]] = (),
-) -> tuple[DataFrame, dict[tuple[str, str], str]]:
-    """(frame, names): one row per (domain, key), with a count per tracked (table, column) under the name that ``names``
-    gives. A domain is a parent's key; ``required`` and ``counted`` columns outside of all references are domains of
-    their own, of which a required one only tells null from not null. Null is a key like any other.
+) -> tuple[DataFrame, dict[tuple[str, str], str], dict[str, int]]:
+    """(frame, names, numbers): one row per (domain, key), with a count per tracked (table, column) under the name that
+    ``names`` gives; a domain stands in the rows as its number in ``numbers``. A domain is a parent's key; ``required``
+    and ``counted`` columns outside of all references are domains of their own, of which a required one only tells null
+    from not null. Null is a key like any other.
     """
     domains: dict[tuple[str, str], list[str | None]] = {}
 
@@ -54,6 +55,8 @@ def key_presence(
         if (table, column) not in domains:
             track(table, column, None)
     names = {place: f"_n{i}" for i, place in enumerate(domains)}
+    known = [domain or ".".join(place) for place, found in domains.items() for domain in found]
+    numbers = {domain: i for i, domain in enumerate(dict.fromkeys(known))}
     parts = []
     for table in dict.fromkeys(table for table, _ in domains):
         entries = []
@@ -64,10 +67,11 @@ def key_presence(
             for domain in found:
                 # A column that is only required needs no values, just whether there is one.
                 key = F.col(column).cast("string") if domain else F.when(F.col(column).isNotNull(), "")
-                entries.append(F.struct(F.lit(domain or f"{table}.{column}").alias("domain"), key.alias("key"), F.lit(number).alias("place")))
+                where = F.lit(numbers[domain or f"{table}.{column}"]).alias("domain")
+                entries.append(F.struct(where, key.alias("key"), F.lit(number).alias("place")))
         parts.append(tables[table].select(F.inline(F.array(*entries))))
     counts = [F.count_if(F.col("place") == int(name[2:])).alias(name) for name in names.values()]
-    return stack(parts).groupBy("domain", "key").agg(*counts), names
+    return stack(parts).groupBy("domain", "key").agg(*counts), names, numbers
 
 
 def broken_references(
@@ -84,10 +88,10 @@ def broken_references(
     <table>.<column>`` per repeated column: how many keys occur more than once, and the most frequent one's rows (null
     if there is no such key).
     """
-    presence, names = key_presence(tables, references, required, repeated)
+    presence, names, numbers = key_presence(tables, references, required, repeated)
     out = []
     for r in references:
-        here = F.col("domain") == f"{r.parent}.{r.key}"
+        here = F.col("domain") == numbers[f"{r.parent}.{r.key}"]
         missing = here & (F.col(names[r.parent, r.key]) == 0)
         if not null_is_key:
             missing = missing & F.col("key").isNotNull()
@@ -99,12 +103,12 @@ def broken_references(
         for place in ((r.parent, r.key), (r.child, r.column)):
             first.setdefault(place, f"{r.parent}.{r.key}")
     for place in required:
-        here = F.col("key").isNull() & (F.col("domain") == first.get(place, ".".join(place)))
+        here = F.col("key").isNull() & (F.col("domain") == numbers[first.get(place, ".".join(place))])
         nulls = F.sum(F.when(here, F.col(names[place])))
         out.append(F.coalesce(nulls, F.lit(0)).cast("bigint").alias(f"nulls {'.'.join(place)}"))
     for place in repeated:
         n = F.col(names[place])
-        several = F.col("key").isNotNull() & (F.col("domain") == first.get(place, ".".join(place))) & (n > 1)
+        several = F.col("key").isNotNull() & (F.col("domain") == numbers[first.get(place, ".".join(place))]) & (n > 1)
         out.append(F.count_if(several).alias(f"repeats {'.'.join(place)}"))
         out.append(F.max(F.when(several, n)).alias(f"most {'.'.join(place)}"))
     return presence.agg(*out)
