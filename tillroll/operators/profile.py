@@ -61,7 +61,7 @@ def _key_copies(df: DataFrame, key: str) -> DataFrame:
     """
     rest = [(c, kind) for c, kind in df.dtypes if c != key]
     told = [(c, kind) for c, kind in rest if digestible(kind)]
-    digest = [row_digest(told)[n].alias(f"_{n}") for n in ("one", "two")] if told else []
+    digest = [row_digest(told)[part].alias(name) for part, name in (("one", "_row"), ("two", "_row_again"))] if told else []
     rows = df.select(key, *digest, *[c for c, kind in rest if not digestible(kind)])
     distinct_rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
     return distinct_rows.groupBy(key).agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("different"))
