@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 
 from tillroll.llm import bpe, exact_dedup, jaccard_join, mixing, ppm_language
-from tillroll.llm.common import read_table, scratch
+from tillroll.llm.common import give_back, read_table, scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -20,6 +20,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     if not model.languages:  # no labels to learn from: the text alone decides
         return docs.filter(docs["text"].rlike(ppm_language.LETTER))
     predicted = ppm_language.predict(docs, model)
+    del model  # the tasks have their own copy
+    give_back()
     return predicted.filter(predicted["lang_pred"] != ppm_language.UNKNOWN).select("whole.*")
 
 

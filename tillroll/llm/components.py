@@ -2,7 +2,8 @@
 
 Each round hangs every node under the smallest node it knows, first among its larger neighbours, then among its smaller
 ones, until nothing moves; the number of rounds grows with the logarithm of the longest chain. Links never leave the
-executors; each round is a minimum by key and a join, written to the shared folder so that lineage stays short.
+executors; each round is a minimum by key and a join, written to the shared folder so that lineage stays short. The joins
+are merge joins whatever the size of the links: a broadcast would bring them to the driver, once more in every round.
 """
 
 from __future__ import annotations
@@ -18,12 +19,12 @@ MAX_ROUNDS = 60
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("u", "v").union(links.select("v", "u"))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return both.join(least.hint("merge"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     least = links.groupBy("u").agg(F.min("v").alias("m"))
-    moved = links.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = links.join(least.hint("merge"), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v")))
 
 

@@ -16,6 +16,9 @@ only across components. A pair that shares several blocks is mostly looked at in
 in tasks. Shingles of the frequent sample
 have their blocks salted in (1), and blocks of any size are cut into pairs of bounded parts in (2).
 
+Tables that grow with the corpus are joined by merge joins, also while they are small enough to broadcast: several at once
+would pass through the driver. Only joins with whole texts are left to Spark, since a broadcast there spares their shuffle.
+
 Defined cases: no words, empty or null text: empty set, linked with nothing, its own component; one to four words: the
 whole sequence is one shingle; a null id counts as larger than any other and gives a null component when it stands alone;
 rows are linked by their texts, so rows sharing an id are judged one by one; further columns are ignored.
@@ -219,7 +222,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _with_classes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     for side in ("a", "b"):
         named = classes.select(*[F.col(c).alias(side if c == "sid" else f"{side}_{c}") for c in classes.columns])
-        pairs = pairs.join(named, side)
+        pairs = pairs.join(named.hint("merge"), side)
     return pairs
 
 
@@ -252,7 +255,7 @@ def _star_pairs(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
     live = staged(shared, "jaccard-live")
     leaders = live.filter("salt >= 0 AND sid = leader.sid").select("token", "sid", "n").distinct()
     head = leaders.groupBy("token").agg(F.min(F.struct("sid", "n")).alias("leader"))
-    across = leaders.join(head, "token").select("leader", "sid", "n")
+    across = leaders.join(head.hint("merge"), "token").select("leader", "sid", "n")
     stars = live.select("leader", "sid", "n").union(across).filter("leader.sid <> sid")
     fit = stars.filter("5 * least(n, leader.n) >= 4 * greatest(n, leader.n)")
     return fit.select(F.col("leader.sid").alias("a"), F.col("sid").alias("b")).distinct(), live.select("token", "sid", "n")
@@ -354,7 +357,7 @@ def _tree_join(sides: list[np.ndarray], counts: list[bytes], n: np.ndarray) -> I
 
 def _open_pairs(live: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
     """Candidate pairs across components, from R-trees over the blocks that still hold several components."""
-    labelled = live.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select(
+    labelled = live.join(roots.withColumnRenamed("node", "sid").hint("merge"), "sid", "left").select(
         "token", "sid", "n", F.coalesce("root", "sid").alias("comp")
     )
     spread = labelled.groupBy("token").agg(
@@ -367,7 +370,7 @@ def _open_pairs(live: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFr
     # A passage that several documents share makes one block for each of its shingles, all with the same members.
     same = spread.filter("low <> high").groupBy("rows", "print_a", "print_b").agg(F.min("token").alias("token"))
     still = same.select("token", F.ceil(F.col("rows") / PART_ROWS).cast("int").alias("parts"))
-    rows = labelled.join(still, "token").withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
+    rows = labelled.join(still.hint("merge"), "token").withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
     cut = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "token",
         F.least("part", "other").alias("one"),
@@ -381,8 +384,8 @@ def _open_pairs(live: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFr
     # two sets share later blocks only, the pair may come out of several; it is made distinct below.
     first = F.slice(F.sort_array(F.collect_list("token")), 1, FIRST_BLOCKS)
     met = rows.groupBy("sid").agg(first.alias("met"))
-    described = classes.select("sid", "counts").join(met, "sid")
-    points = cut.join(described, "sid").withColumn("before", F.filter("met", lambda t: t < F.col("token"))).drop("met")
+    described = classes.select("sid", "counts").join(met.hint("merge"), "sid")
+    points = cut.join(described.hint("merge"), "sid").withColumn("before", F.filter("met", lambda t: t < F.col("token"))).drop("met")
     blocks = points.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two")
     return blocks.mapInArrow(lean(_tree_pairs), "a long, b long").distinct()
 
@@ -441,12 +444,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def labelled(sets: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
     """`sets` with the smallest document of each one's component."""
-    rooted = classes.select("sid", "doc").join(roots.withColumnRenamed("node", "sid"), "sid", "left")
+    rooted = classes.select("sid", "doc").join(roots.withColumnRenamed("node", "sid").hint("merge"), "sid", "left")
     rooted = rooted.select("sid", "doc", F.coalesce("root", "sid").alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc").alias("component"))
-    by_set = rooted.join(least, "root").select("sid", "root", "component")
+    by_set = rooted.join(least.hint("merge"), "root").select("sid", "root", "component")
     whole = sets.select("doc", "body", "n", "sid")
     return (
-        whole.join(by_set, "sid", "left")
+        whole.join(by_set.hint("merge"), "sid", "left")
         .select("doc", "body", "n", "root", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component"))
     )

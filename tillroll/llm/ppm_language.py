@@ -27,12 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import lean
+from tillroll.llm.common import give_back, lean
 
 UNKNOWN = "und"
 MAX_ORDER = 3
 SAMPLE_DOCS = 3000
 SLICE = 1 << 19
+CONTEXTS = 512  # a bound on the driver's memory alone
 SEED = 4
 LETTER = r"\p{L}"
 
@@ -130,7 +131,10 @@ def train(
     summed = bodies.mapInArrow(lean(_gram_counts), "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # One row per byte context of the sample, as columns; the text of a language name never travels.
     counts = summed.toArrow()
-    return build_model(languages, *(counts[c].to_numpy() for c in ("lang", "gram", "n")))
+    model = build_model(languages, *(counts[c].to_numpy() for c in ("lang", "gram", "n")))
+    del counts
+    give_back()
+    return model
 
 
 def build_model(languages: list[str], lang_of: np.ndarray, grams: np.ndarray, counts: np.ndarray, order: int = MAX_ORDER) -> Model:
@@ -169,22 +173,32 @@ def build_model(languages: list[str], lang_of: np.ndarray, grams: np.ndarray, co
         if not len(keys[k]):
             continue
         if k < order:
-            grown = (keys[k][:, None] * classes + every).ravel()
-            step[ids[k]] = find(k + 1, grown).reshape(-1, classes)
-        if k:
-            cost[ids[k]] = cost[find(k - 1, keys[k] % classes ** (k - 1))]
+            for low in range(0, len(keys[k]), CONTEXTS):
+                grown = (keys[k][low : low + CONTEXTS, None] * classes + every).ravel()
+                step[ids[k][low : low + CONTEXTS]] = find(k + 1, grown).reshape(-1, classes)
+        seen_by = []
         for lang in range(len(languages)):
-            mine = lang_of == lang
-            tally = np.zeros((len(keys[k]), classes))
-            np.add.at(tally, (np.searchsorted(keys[k], context[k][mine]), coded[mine, order]), weights[mine])
-            total, distinct = tally.sum(axis=1), (tally > 0).sum(axis=1)
-            seen = np.flatnonzero(total)
-            tally, total, distinct = tally[seen], total[seen, None], distinct[seen, None]
-            with np.errstate(divide="ignore"):
-                coded_bits = -np.log2(tally / (total + distinct))
-            escape = -np.log2(distinct / (total + distinct))
-            shorter = cost[ids[k][seen], :, lang]
-            cost[ids[k][seen], :, lang] = np.where(tally > 0, coded_bits, escape + shorter)
+            mine = np.flatnonzero(lang_of == lang)
+            at = np.searchsorted(keys[k], context[k][mine])
+            by_context = np.argsort(at, kind="stable")
+            seen_by.append((mine[by_context], at[by_context]))
+        # A few contexts at a time: the tallies and their logarithms are many times as large as the costs themselves.
+        for low in range(0, len(keys[k]), CONTEXTS):
+            nodes = ids[k][low : low + CONTEXTS]
+            if k:
+                cost[nodes] = cost[find(k - 1, keys[k][low : low + CONTEXTS] % classes ** (k - 1))]
+            for lang, (rows, at) in enumerate(seen_by):
+                here = slice(*np.searchsorted(at, [low, low + CONTEXTS]))
+                tally = np.zeros((len(nodes), classes))
+                np.add.at(tally, (at[here] - low, coded[rows[here], order]), weights[rows[here]])
+                total, distinct = tally.sum(axis=1), (tally > 0).sum(axis=1)
+                seen = np.flatnonzero(total)
+                tally, total, distinct = tally[seen], total[seen, None], distinct[seen, None]
+                with np.errstate(divide="ignore"):
+                    coded_bits = -np.log2(tally / (total + distinct))
+                escape = -np.log2(distinct / (total + distinct))
+                shorter = cost[nodes[seen], :, lang]
+                cost[nodes[seen], :, lang] = np.where(tally > 0, coded_bits, escape + shorter)
     return Model(list(languages), order, symbol, step, cost.reshape(base * classes, -1))
 
 
