@@ -1,8 +1,9 @@
-"""What the driver holds."""
+"""What the driver holds, and a task of the language stage."""
 
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 from tillroll.llm import components, jaccard_join, ppm_language
 from tillroll.llm.common import staged
@@ -38,3 +39,21 @@ def test_building_the_model_takes_little_more_than_the_model():
     tracemalloc.stop()
     assert model.cost.nbytes > 20e6
     assert peak < 1.5 * (model.step.nbytes + model.cost.nbytes)
+
+
+def test_texts_are_scored_block_by_block():
+    codes = np.array([97, 97 << 8 | 98, 98], np.int64)
+    model = ppm_language.build_model(["a", "b"], np.array([0, 0, 1], np.int32), codes, np.array([5, 3, 4]))
+    bodies = [None if i % 7 == 0 else b"ab" * (i % 3000) for i in range(8000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8000)), pa.array(bodies, pa.binary())], ["whole", "body"])
+    rows = [i for i, b in enumerate(bodies) if b is not None]
+    best, scores = model.predict([bodies[i] for i in rows])
+    tracemalloc.start()
+    found = [pa.Table.from_batches([x]) for x in ppm_language.scored(model, iter([batch]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    table = pa.concat_tables(found)
+    assert table["whole"].to_pylist() == list(range(8000))
+    assert [table["lang_pred"][i].as_py() for i in rows] == [model.languages[k] for k in best]
+    assert np.allclose(table["score"].to_numpy()[rows], scores, rtol=1e-9) and table["lang_pred"][0].as_py() == "und"
+    assert len(found) > 5 and peak < 2 * batch.nbytes

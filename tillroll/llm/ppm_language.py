@@ -33,6 +33,7 @@ UNKNOWN = "und"
 MAX_ORDER = 3
 SAMPLE_DOCS = 3000
 SLICE = 1 << 19
+BLOCK_BYTES = 1 << 21
 CONTEXTS = 512  # a bound on the driver's memory alone
 SEED = 4
 LETTER = r"\p{L}"
@@ -202,6 +203,33 @@ def build_model(languages: list[str], lang_of: np.ndarray, grams: np.ndarray, co
     return Model(list(languages), order, symbol, step, cost.reshape(base * classes, -1))
 
 
+def scored(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of `predict` for batches (whole, body), block by block; one batch and one block are held at a time."""
+    for batch in batches:
+        low = 0
+        while low < batch.num_rows:
+            high, size, bodies = low, 0, []
+            while high < batch.num_rows and (size < BLOCK_BYTES or not bodies):
+                bodies.append(batch.column(1)[high].as_py())
+                size += len(bodies[-1] or b"")
+                high += 1
+            rows = [i for i, b in enumerate(bodies) if b is not None] if model.languages else []
+            names, scores = [UNKNOWN] * len(bodies), np.zeros(len(bodies))
+            if rows:
+                best, scores[rows] = model.predict([bodies[i] for i in rows])
+                for i, lang in zip(rows, best):
+                    names[i] = model.languages[lang]
+            del bodies
+            whole = batch.column(0).slice(low, high - low)
+            yield pa.RecordBatch.from_arrays(
+                [whole, pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["whole", "lang_pred", "score"]
+            )
+            # Columns of a batch share its memory, which goes before the next batch comes.
+            del whole
+            low = high
+        del batch
+
+
 def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """(whole, lang_pred, score): `whole` is a struct of the columns `carry` (default: all), so no names can clash."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -212,18 +240,6 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[s
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch in batches:
-            bodies = batch.column(1).to_pylist()
-            rows = [i for i, b in enumerate(bodies) if b is not None] if known.languages else []
-            names, scores = [UNKNOWN] * len(bodies), np.zeros(len(bodies))
-            if rows:
-                best, scores[rows] = known.predict([bodies[i] for i in rows])
-                for i, lang in zip(rows, best):
-                    names[i] = known.languages[lang]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                ["whole", "lang_pred", "score"],
-            )
+        yield from scored(shared.value, batches)
 
     return packed.mapInArrow(lean(score), schema)
