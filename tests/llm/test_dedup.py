@@ -142,6 +142,80 @@ def test_rows_of_one_id_and_text_bring_it_once(spark):
     assert jaccard_join.texts_of(keyed, keyed.select("doc", "body")).count() == 5
 
 
+def test_texts_of_no_pair_stay_out_of_the_shuffle(spark):
+    """Of 2,000 texts those of 30 pairs come along, all of them and few others; a full table of bits loses none."""
+    docs = spark.range(2000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    keyed = jaccard_join._keyed(docs, "doc_id", "text").cache()
+    sides = [keyed.filter(f"doc % 50 = {k}").selectExpr("doc DIV 50 AS at", f"doc AS {s}_doc", f"body AS {s}_body") for k, s in enumerate("ab")]
+    close = sides[0].join(sides[1], "at").filter("at < 30")
+    named = {50 * k + side for k in range(30) for side in (0, 1)}
+    got = {r.doc for r in jaccard_join.wanted_texts(close, keyed).collect()}
+    assert named <= got and len(got) < 400
+    assert jaccard_join.wanted_texts(close.limit(0), keyed).count() == 0
+
+
+def test_a_full_table_of_bits_loses_no_text(spark, docs, messy, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "MOST_BITS", 64)
+    assert brute.ordered(jaccard_join.join(docs).collect()) == brute.ordered(brute.near(messy))
+
+
+def test_sets_of_texts_that_come_again_are_kept(monkeypatch):
+    """Three texts in 300 pairs are hashed three times, and as often as they come when nothing may be kept."""
+    words = [f"w{i}" for i in range(100)]
+    texts = [" ".join(w).encode() for w in (words, [*words[:-2], "x", "y"], [*words[50:], *words[:50], "z"])]
+    pairs = [(i % 3, (i + 1) % 3) for i in range(300)]
+    batch = pa.RecordBatch.from_pydict(
+        {"a": [a for a, _ in pairs], "b": [b for _, b in pairs], "x": [texts[a] for a, _ in pairs], "y": [texts[b] for _, b in pairs]}
+    )
+    made, plain = [], jaccard_join.shingle_sets
+    monkeypatch.setattr(jaccard_join, "shingle_sets", lambda texts, hashes: made.append(1) or plain(texts, hashes))
+    (got,) = jaccard_join._verified(iter([batch]))
+    sets = [brute.shingles(t.decode()) for t in texts]
+    linked = [p for p in pairs if 100 * len(sets[p[0]] & sets[p[1]]) >= 80 * len(sets[p[0]] | sets[p[1]])]
+    assert list(zip(*(c.to_pylist() for c in got.columns))) == linked and linked
+    assert len(made) == 3
+    monkeypatch.setattr(jaccard_join, "KNOWN_BYTES", -1)
+    assert list(jaccard_join._verified(iter([batch]))) == [got]
+
+
+def test_bounds_of_many_pairs():
+    """The bounds are those of the plain counts, a count of MANY or more taken as the set's largest, for any numbers of groups."""
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64)) for n in (1, 3, 40, 60, 70, 130, 500, 520, 900)]
+    sets += [sets[6] >> np.uint64(9), np.arange(400, dtype=np.uint64), sets[4] >> np.uint64(2)]  # large counts, also above a byte
+
+    def plain(a, b):
+        points = []
+        for s in (a, b):
+            bits = jaccard_join.groups_for(len(s)).bit_length() - 1
+            counts = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+            points.append(np.where(counts >= jaccard_join.MANY, counts.max(), counts))
+        groups = min(map(len, points))
+        return np.minimum(*(p.reshape(groups, -1).sum(axis=1) for p in points)).sum()
+
+    counts = jaccard_join.PackedCounts([jaccard_join.group_counts(s) for s in sets])
+    x, y = (i.ravel() for i in np.indices((len(sets), len(sets))))
+    got = counts.overlap_bounds(x, y)
+    assert got.tolist() == [plain(sets[i], sets[j]) for i, j in zip(x, y)]
+    assert all(k >= len(np.intersect1d(sets[i], sets[j])) for i, j, k in zip(x, y, got))
+
+
+def test_tree_join_of_large_counts():
+    rng = np.random.default_rng(5)
+    points = rng.choice([0, 1, 2, 40, 41, 900], (60, 36)) + np.zeros((60, 1), np.int32)
+    points[20:40] = points[:20] + rng.integers(0, 2, (20, 36))
+    sizes = points.sum(axis=1)
+    wanted = {
+        (i, j)
+        for i in range(60)
+        for j in range(i + 1, 60)
+        if count_tree.can_overlap(np.minimum(points[i], points[j]).sum(), sizes[i], sizes[j])
+        and count_tree.sizes_fit(sizes[i], sizes[i], sizes[j], sizes[j])
+    }
+    got = [(min(i, j), max(i, j)) for x, y in count_tree.CountTree(points, sizes).join() for i, j in zip(x.tolist(), y.tolist())]
+    assert set(got) == wanted and len(got) == len(wanted) >= 20
+
+
 def test_near_rows(docs, messy):
     kept = jaccard_join.keep_one(docs)
     assert kept.columns == docs.columns

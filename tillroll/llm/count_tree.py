@@ -4,6 +4,10 @@ A set of tokens becomes a point: its tokens are hashed into groups, and each coo
 overlap of two sets is at most the sum of the smaller of their coordinates; the same sum over the upper corners of two
 boxes bounds every pair of points in them. The tree is packed bottom-up: points are sorted by size into slabs and inside a
 slab by the coordinate that varies most, neighbours share a leaf, and leaves share inner nodes.
+
+For a join, points and corners are kept as bits: for each value v that occurs, which coordinates reach v. The smaller of two
+coordinates reaches v where both do, so the sum of minima is a weighted count of common bits, and the upper corner of a box
+has the bits of all its points. One word stands for 64 coordinates.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ import numpy as np
 
 FANOUT = 16
 CHUNK = 1 << 12
+FEW = 16
 
 
 def can_overlap(overlap, size_a, size_b) -> np.ndarray:
@@ -36,14 +41,29 @@ class CountTree:
             part = order[low : low + slab]
             order[low : low + slab] = part[np.argsort(points[part][:, points[part].var(axis=0).argmax()], kind="stable")]
         self.rows = order
-        self.levels = [(points[order], sizes[order], sizes[order])]
-        while len(self.levels[-1][0]) > 1:
-            self.levels.append(self._above(*self.levels[-1]))
-
-    @staticmethod
-    def _above(high: np.ndarray, least: np.ndarray, most: np.ndarray):
-        cuts = np.arange(0, len(high), FANOUT)
-        return np.maximum.reduceat(high, cuts), np.minimum.reduceat(least, cuts), np.maximum.reduceat(most, cuts)
+        self.points = points[order]
+        self.sizes = [(sizes[order], sizes[order])]
+        while len(self.sizes[-1][0]) > 1:
+            least, most = self.sizes[-1]
+            cuts = np.arange(0, len(least), FANOUT)
+            self.sizes.append((np.minimum.reduceat(least, cuts), np.maximum.reduceat(most, cuts)))
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def _values(self) -> np.ndarray:
+        """All coordinates that occur; the few below a small largest one are not looked up."""
+        most = int(self.points.max(initial=0))
+        return np.arange(1, most + 1) if most <= FEW else np.flatnonzero(np.bincount(self.points.ravel()))
+
+    def _box(self, values: np.ndarray) -> None:
+        """`levels` of (bits of the upper corners, least size, largest size), for these values."""
+        m, groups = self.points.shape
+        bits = np.zeros((m, len(values), -(-groups // 64) * 8), np.uint8)
+        for i, v in enumerate(values.tolist()):
+            bits[:, i, : -(-groups // 8)] = np.packbits(self.points >= v, axis=1)
+        corners = [bits.view(np.uint64).reshape(m, -1)]
+        for _ in self.sizes[1:]:
+            corners.append(np.bitwise_or.reduceat(corners[-1], np.arange(0, len(corners[-1]), FANOUT), axis=0))
+        self.levels = [(c, *s) for c, s in zip(corners, self.sizes)]
 
     def level(self, k: int):
         return self.levels[min(k, len(self.levels) - 1)]
@@ -51,16 +71,22 @@ class CountTree:
     def join(self, other: CountTree | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Rows (i, j) whose bound admits similarity 0.8; without `other`, each pair of own rows once."""
         right = other or self
+        values = np.unique(np.concatenate([[1], self._values(), right._values()]))
+        values = values[values > 0]
+        for tree in {id(t): t for t in (self, right)}.values():
+            tree._box(values)
+        steps = np.diff(values, prepend=0)
         top = max(len(self.levels), len(right.levels)) - 1
-        yield from self._descend(right, top, np.zeros(1, np.int64), np.zeros(1, np.int64), other is None)
+        yield from self._descend(right, top, np.zeros(1, np.int64), np.zeros(1, np.int64), other is None, steps)
 
-    def _descend(self, right: CountTree, k: int, a: np.ndarray, b: np.ndarray, own: bool):
-        (high_a, least_a, most_a), (high_b, least_b, most_b) = self.level(k), right.level(k)
+    def _descend(self, right: CountTree, k: int, a: np.ndarray, b: np.ndarray, own: bool, steps: np.ndarray):
+        (bits_a, least_a, most_a), (bits_b, least_b, most_b) = self.level(k), right.level(k)
         for low in range(0, len(a), CHUNK):
             x, y = a[low : low + CHUNK], b[low : low + CHUNK]
             fit = sizes_fit(least_a[x], most_a[x], least_b[y], most_b[y])
             x, y = x[fit], y[fit]
-            overlap = np.minimum(high_a[x], high_b[y]).sum(axis=1, dtype=np.int64)
+            common = np.bitwise_count(bits_a[x] & bits_b[y]).reshape(len(x), len(steps), bits_a.shape[1] // len(steps))
+            overlap = common.sum(axis=2, dtype=np.int64) @ steps
             fit = can_overlap(overlap, least_a[x], least_b[y])
             x, y = x[fit], y[fit]
             if not len(x):
@@ -73,7 +99,7 @@ class CountTree:
             if own:
                 keep = i < j if k == 1 else i <= j
                 i, j = i[keep], j[keep]
-            yield from self._descend(right, k - 1, i, j, own)
+            yield from self._descend(right, k - 1, i, j, own, steps)
 
     def _children(self, nodes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """First child of each node on the level below, and how many there are."""

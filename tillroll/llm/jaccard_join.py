@@ -13,7 +13,7 @@ Steps. One scan turns each text into (size, set id, group counts, prefix). Equal
 smallest document stands for all. (1) In each block every member is held against the block's leader, which settles groups
 of near copies with as many pairs as members. (2) Blocks that still hold several components join the rest by R-trees,
 only across components. A pair that shares several blocks is mostly looked at in the first of them alone. Pairs that pass the bound are verified on the texts,
-in tasks. Shingles of the frequent sample
+in tasks; texts of no such pair are left out before the shuffle. Shingles of the frequent sample
 have their blocks salted in (1), and blocks of any size are cut into pairs of bounded parts in (2).
 
 Tables that grow with the corpus are joined by merge joins, also while they are small enough to broadcast: several at once
@@ -45,13 +45,17 @@ SHINGLE = 5
 LEAST_GROUPS, MOST_GROUPS = 5, 16  # powers of two
 SEEN_SETS = 1 << 20
 MANY = 3
-UNPACKED = (np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3).astype(np.int32)
+UNPACKED = (np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3).astype(np.uint8).view("<u4").ravel()  # four codes a byte
+BOUND_BYTES = 1 << 16
 BLOCK_BYTES = 4 << 20
+KNOWN_BYTES = 16 << 20
 SAMPLE_DOCS = 4000
 FREQUENT_IN_SAMPLE = 4
 FREQUENT = 50_000
 SALTS = 16
 FIRST_BLOCKS = 16  # a matter of cost alone
+BITS_A_PAIR = 16
+MOST_BITS = 1 << 26
 PART_ROWS = 2048
 LEAF_ROWS = 32
 SEED = 10
@@ -105,13 +109,6 @@ def group_counts(shingles: np.ndarray) -> bytes:
     return int(counts.max()).to_bytes(4, "little") + (codes << np.arange(0, 8, 2, dtype=np.uint8)).sum(axis=1, dtype=np.uint8).tobytes()
 
 
-def point_of(packed: bytes) -> np.ndarray:
-    """Counts that are exact below 3 and not too small from there, so sums of their minima still bound the overlap."""
-    codes = UNPACKED[np.frombuffer(packed, np.uint8, offset=4)].ravel()
-    most = int.from_bytes(packed[:4], "little")
-    return np.where(codes == MANY, most, codes) if most > MANY else codes
-
-
 def folded(point: np.ndarray, groups: int) -> np.ndarray:
     """The same counts for fewer groups, along the last axis."""
     if point.shape[-1] == groups:
@@ -119,11 +116,40 @@ def folded(point: np.ndarray, groups: int) -> np.ndarray:
     return point.reshape(*point.shape[:-1], groups, -1).sum(axis=-1, dtype=np.int32)
 
 
-def overlap_bound(a: bytes, b: bytes) -> int:
-    """No two sets with these counts share more shingles."""
-    x, y = point_of(a), point_of(b)
-    groups = min(len(x), len(y))
-    return int(np.minimum(folded(x, groups), folded(y, groups)).sum(dtype=np.int64))
+class PackedCounts:
+    """The group counts of many sets, left packed, for the bounds of many pairs at once."""
+
+    def __init__(self, counts: list[bytes]):
+        ends = np.cumsum([len(c) for c in counts], dtype=np.int64)
+        self.bytes = np.frombuffer(b"".join(counts), np.uint8)
+        self.first = np.concatenate([[0], ends[:-1]]).astype(np.int64) + 4
+        self.width = ends - self.first
+        self.most = self._of(self.first - 4, 4).view("<u4").ravel().astype(np.int64)
+
+    def _of(self, first: np.ndarray, width: int) -> np.ndarray:
+        return self.bytes[first[:, None] + np.arange(width)]
+
+    def points(self, rows: np.ndarray) -> np.ndarray:
+        """Counts that are exact below MANY and not too small from there, so sums of their minima still bound the overlap.
+
+        The rows have the same number of groups.
+        """
+        codes = UNPACKED[self._of(self.first[rows], int(self.width[rows[0]]))].view(np.uint8)
+        most = np.maximum(self.most[rows], MANY)
+        return np.where(codes == MANY, most.astype(np.uint8 if most.max() < 256 else np.int32)[:, None], codes)
+
+    def overlap_bounds(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """For every i, no two sets with the counts of x[i] and y[i] share more shingles."""
+        out = np.zeros(len(x), np.int64)
+        widths = np.stack([self.width[x], self.width[y]], axis=1)
+        for wide in np.unique(widths, axis=0):
+            alike = np.flatnonzero((widths == wide).all(axis=1))
+            step = max(1, BOUND_BYTES // int(wide.max()))
+            for low in range(0, len(alike), step):
+                at = alike[low : low + step]
+                points = (folded(self.points(rows[at]), 4 * int(wide.min())) for rows in (x, y))
+                out[at] = np.minimum(*points).sum(axis=1, dtype=np.int64)
+        return out
 
 
 def prefix_of(shingles: np.ndarray, frequent: np.ndarray, ranks: np.ndarray) -> np.ndarray:
@@ -194,9 +220,13 @@ def described(keyed: DataFrame, frequent: np.ndarray) -> DataFrame:
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose summed minima admit the similarity."""
     for batch in batches:
-        rows = zip(*(batch.column(c).to_pylist() for c in ("a_counts", "b_counts", "a_n", "b_n")))
-        fit = [bool(can_overlap(overlap_bound(x, y), n, m)) for x, y, n, m in rows]
-        yield batch.select(list(PAIR_COLUMNS)).filter(pa.array(fit, pa.bool_()))
+        if not batch.num_rows:
+            continue
+        counts = PackedCounts(batch.column("a_counts").to_pylist() + batch.column("b_counts").to_pylist())
+        sizes = (batch.column(c).to_numpy().astype(np.int64) for c in ("a_n", "b_n"))
+        at = np.arange(batch.num_rows)
+        fit = can_overlap(counts.overlap_bounds(at, at + batch.num_rows), *sizes)
+        yield batch.select(list(PAIR_COLUMNS)).filter(pa.array(fit))
 
 
 PAIR_COLUMNS = ("a", "b", "a_doc", "a_body", "b_doc", "b_body")
@@ -204,16 +234,27 @@ PAIRS = ", ".join(f"{c} long" for c in PAIR_COLUMNS)
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links among pairs with both texts; the set of a text that comes again right away is kept."""
+    """Links among pairs with both texts; the sets of texts that come again soon are kept, up to a bound."""
     hashes = WordHashes()
-    last: tuple[bytes, np.ndarray] = (b"", np.zeros(0, np.uint64))
+    known: dict[bytes, np.ndarray] = {}
+    held = 0
+
+    def set_of(text: bytes) -> np.ndarray:
+        nonlocal held
+        own = known.get(text)
+        if own is None:
+            own = shingle_sets([text], hashes)[0]
+            if held > KNOWN_BYTES:
+                known.clear()
+                held = 0
+            known[text] = own
+            held += len(text) + own.nbytes
+        return own
+
     for batch in batches:
         keep = []
         for left, right in zip(batch.column(2), batch.column(3)):
-            left, right = left.as_py(), right.as_py()
-            if left != last[0]:
-                last = (left, shingle_sets([left], hashes)[0])
-            a, b = last[1], shingle_sets([right], hashes)[0]
+            a, b = set_of(left.as_py()), set_of(right.as_py())
             both = len(np.intersect1d(a, b, assume_unique=True))
             keep.append(100 * both >= 80 * (len(a) + len(b) - both))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -237,11 +278,35 @@ def texts_of(keyed: DataFrame, sets: DataFrame) -> DataFrame:
     return once.union(keyed.join(again, ["doc", "body"], "left_semi").dropDuplicates(["doc", "body"]))
 
 
+def wanted_texts(close: DataFrame, keyed: DataFrame) -> DataFrame:
+    """The rows of `keyed` that are in a pair of `close`, and a few others; no text of the rest is shuffled.
+
+    Rows are told by one bit each in a table of bounded size, which alone passes through the driver. Where many rows share
+    a bit, more of the others come along; the joins with `close` leave them out.
+    """
+    bits = min(max(64, 1 << (BITS_A_PAIR * close.count()).bit_length()), MOST_BITS)
+    slot = F.pmod(F.xxhash64(F.lit(SEED), "doc", "body"), F.lit(bits))
+    named = close.select(F.col("a_doc").alias("doc"), F.col("a_body").alias("body")).union(close.select("b_doc", "b_body"))
+    bit = F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")
+    words = named.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    table = np.zeros(bits >> 6, np.int64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy()
+    shared = keyed.sparkSession.sparkContext.broadcast(table)
+
+    @F.arrow_udf("boolean")
+    def wanted(slots: pa.Array) -> pa.Array:
+        at = slots.to_numpy()
+        return pa.array((shared.value[at >> 6] >> (at & 63) & 1).astype(bool))
+
+    return keyed.filter(wanted(slot))
+
+
 def links_of(pairs: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
     """The pairs (a, b) of set ids that are links: bounded by group counts, then verified on the texts."""
     close = staged(_with_classes(pairs, classes).mapInArrow(lean(_bounded), PAIRS), "jaccard-pairs")
+    wanted = staged(wanted_texts(close, keyed), "jaccard-texts")
     for side in ("b", "a"):
-        texts = keyed.select(*[F.col(c).alias(f"{side}_{c}") for c in ("doc", "body", "bytes")])
+        texts = wanted.select(*[F.col(c).alias(f"{side}_{c}") for c in ("doc", "body", "bytes")])
         close = close.join(texts, [f"{side}_doc", f"{side}_body"])
     texts = close.select("a", "b", "a_bytes", "b_bytes")
     return staged(texts.mapInArrow(lean(_verified), "a long, b long").distinct(), "jaccard-links")
@@ -285,13 +350,24 @@ def _block_keys(table: pa.Table) -> np.ndarray:
     return np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
 
 
+def _before_lists(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The lists `before` as rows of a matrix, filled up by the row's own token, which no list of its block holds, and their lengths."""
+    lists = table["before"].combine_chunks()
+    lengths = pa.compute.list_value_length(lists).to_numpy()
+    filled = np.repeat(table["token"].to_numpy()[:, None], max(int(lengths.max()), 1), axis=1)
+    filled[np.arange(filled.shape[1]) < lengths[:, None]] = lists.flatten().to_numpy()
+    return filled, lengths
+
+
 def _block_pairs(table: pa.Table, first: np.ndarray) -> Iterator[pa.RecordBatch]:
-    counts, lists = table["counts"].to_pylist(), table["before"].combine_chunks()
-    values, cuts = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(pa.compute.list_value_length(lists).to_numpy())])
+    counts, (before, lengths) = PackedCounts(table["counts"].to_pylist()), _before_lists(table)
 
-    def met_before(x: int, y: int) -> bool:
-        one, other = values[cuts[x] : cuts[x + 1]], values[cuts[y] : cuts[y + 1]]
-        return not set(one.tolist()).isdisjoint(other.tolist())
+    def met_before(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        met = np.zeros(len(x), bool)
+        one = before[x]
+        for k in range(before.shape[1]):
+            met |= (k < lengths[y]) & (one == before[y, k][:, None]).any(axis=1)
+        return met
 
     sid, n, comp, part, one, two = (table[c].to_numpy() for c in ("sid", "n", "comp", "part", "one", "two"))
     n = n.astype(np.int64)
@@ -305,18 +381,21 @@ def _block_pairs(table: pa.Table, first: np.ndarray) -> Iterator[pa.RecordBatch]
     for low in range(0, len(rows), 4096):
         i = rows[low : low + 4096]
         after = last[i] - i - 1
-        left = np.repeat(i, after)
-        right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
-        fit = (comp[left] != comp[right]) & sizes_fit(n[left], n[left], n[right], n[right])
-        for x, y in np.unique(np.stack([left[fit], right[fit]], axis=1), axis=0):
-            if not met_before(x, y) and can_overlap(overlap_bound(counts[x], counts[y]), n[x], n[y]):
-                found.append((np.array([x]), np.array([y])))
+        x = np.repeat(i, after)
+        y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(after) - after, after)
+        fit = (comp[x] != comp[y]) & sizes_fit(n[x], n[x], n[y], n[y])
+        x, y = x[fit], y[fit]
+        fit = ~met_before(x, y)
+        x, y = x[fit], y[fit]
+        fit = can_overlap(counts.overlap_bounds(x, y), n[x], n[y])
+        found.append((x[fit], y[fit]))
     for low, high in zip(starts[~small], ends[~small]):
         rows = np.arange(low, high)
         sides = [rows] if one[low] == two[low] else [rows[part[low:high] == p] for p in (one[low], two[low])]
         for x, y in _tree_join(sides, counts, n):
             fit = comp[x] != comp[y]
-            fit[fit] = [not met_before(i, k) for i, k in zip(x[fit].tolist(), y[fit].tolist())]
+            x, y = x[fit], y[fit]
+            fit = ~met_before(x, y)
             found.append((x[fit], y[fit]))
     if found:
         x, y = (np.concatenate(side) for side in zip(*found))
@@ -325,16 +404,13 @@ def _block_pairs(table: pa.Table, first: np.ndarray) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
-def _tree_join(sides: list[np.ndarray], counts: list[bytes], n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _tree_join(sides: list[np.ndarray], counts: PackedCounts, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows by R-trees: within one side, or between two. Rows whose numbers of groups differ by more than a factor
     of two differ too much in size, so a tree meets the trees of its own and of the neighbouring number of groups."""
 
     def by_groups(rows: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        groups = np.array([groups_for(k) for k in n[rows].tolist()], dtype=np.int64)
-        return {
-            g: (rows[groups == g], np.stack([point_of(counts[i]).astype(np.int32) for i in rows[groups == g]]))
-            for g in np.unique(groups).tolist()
-        }
+        groups = 4 * counts.width[rows]
+        return {g: (own := rows[groups == g], counts.points(own)) for g in np.unique(groups).tolist()}
 
     def join(left, right=None, groups=None):
         (rows_a, points_a), (rows_b, points_b) = left, right or left
