@@ -15,7 +15,8 @@ as a field of `FILTER_BITS` bits addressed by hash, of one size whatever the cor
 through, and the last step counts phrases by their words. A phrase lies inside a longer one of the same count exactly
 when one word stands beside all its occurrences, in all shards; that settles which candidates are dropped without a join.
 
-Scale: shards are bounded and reach Python a few at a time, so the memory of a task is bounded. In the last step each task adds up its shards before it gives a phrase
+Scale: shards are bounded, lie in row groups of a few and reach Python a few at a time, and phrases become words a slice
+at a time, so the memory of a task is bounded whatever the share of a shard that is frequent. In the last step each task adds up its shards before it gives a phrase
 out. Ranking sorts parts of a language first and then the best of the parts.
 
 Defined cases: a null text is empty, a null language `und`; a table without candidates gives an empty result; repeated
@@ -47,7 +48,11 @@ SHARD_WORDS = 1 << 19
 SUMMED_WORDS = 3  # phrases up to here are summed by hash first; of longer ones few are left to try
 FILTER_BITS = 1 << 26  # at most 2^32
 HELD_PHRASES = 1 << 18
+SLICE_PHRASES = 1 << 15  # phrases of a shard that are written out as words at once
 BATCH_SHARDS = 2  # shards that travel to Python at once, a few megabytes each
+GROUP_SHARDS = 4  # shards in a row group, which a reader or writer holds at once
+OPEN_SHARDS = 4  # full shards whose words a task may hold open, of all languages
+BATCH_TEXTS = 500  # texts that travel to Python at once
 RANK_PARTS = 64
 JVM_SEED = 42  # seed of Spark's xxhash64
 
@@ -100,13 +105,20 @@ class _Shard:
 def _pack(shard_words: int):
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_shards: dict[str | None, _Shard] = {}
+        held = 0
         for batch in batches:
             langs = batch.column(0).to_pylist()
             for lang, text in zip(langs, batch.column(1)):
                 shard = open_shards.setdefault(lang, _Shard(lang))
+                before = shard.size
                 shard.add(text.as_py())
-                if shard.size >= shard_words:
-                    yield open_shards.pop(lang).row()
+                held += shard.size - before
+                if shard.size < shard_words and held > OPEN_SHARDS * shard_words:
+                    shard = max(open_shards.values(), key=lambda s: s.size)
+                elif shard.size < shard_words:
+                    continue
+                held -= shard.size
+                yield open_shards.pop(shard.lang).row()
         for shard in open_shards.values():
             yield shard.row()
 
@@ -119,7 +131,9 @@ def pack(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", shard_
         F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
         text_or_empty(F.col(text_col)).cast("binary").alias("text"),
     )
-    return staged(texts.mapInArrow(lean(_pack(shard_words)), SHARDS), "phrase-shards", compression="zstd")
+    options = {"compression": "zstd", "parquet.block.row.count.limit": str(GROUP_SHARDS)}
+    with arrow_rows(docs.sparkSession, BATCH_TEXTS):
+        return staged(texts.mapInArrow(lean(_pack(shard_words)), SHARDS), "phrase-shards", **options)
 
 
 def _word_hashes(lang: str, words: pa.Array) -> np.ndarray:
@@ -222,11 +236,20 @@ def _grams(fields: list, length: int):
 
 
 def _merged(tables: list[pa.Table]) -> pa.Table:
-    """One row for each phrase; a side keeps its word if all rows agree on it."""
-    grouped = pa.concat_tables(tables).group_by(["lang", "size", "phrase"])
-    summed = grouped.aggregate([("n", "sum")] + [(side, how) for side in ("left", "right") for how in ("min", "max")])
+    """One row for each phrase; a side keeps its word if all rows agree on it.
+
+    Sides meet as numbers of their words, which are equal just where the words are: the least and the greatest of texts
+    would be held once for each phrase and thread.
+    """
+    whole = pa.concat_tables(tables)
+    numbered = {side: whole[side].combine_chunks().dictionary_encode() for side in ("left", "right")}
+    for side, words in numbered.items():
+        whole = whole.set_column(whole.column_names.index(side), side, words.indices)
+    grouped = whole.group_by(["lang", "size", "phrase"], use_threads=False)
+    summed = grouped.aggregate([("n", "sum")] + [(side, how) for side in numbered for how in ("min", "max")])
     sides = [
-        pc.if_else(pc.equal(summed[f"{side}_min"], summed[f"{side}_max"]), summed[f"{side}_min"], "") for side in ("left", "right")
+        pc.if_else(pc.equal(summed[f"{side}_min"], summed[f"{side}_max"]), pc.take(words.dictionary, summed[f"{side}_min"]), "")
+        for side, words in numbered.items()
     ]
     columns = [summed["lang"], summed["size"], summed["phrase"], summed["n_sum"], *sides]
     return pa.table(columns, names=["lang", "size", "phrase", "n", "left", "right"])
@@ -241,31 +264,33 @@ def _phrases(fields: list, max_words: int):
             return
         names = pa.concat_arrays([pa.array([""], pa.string()), shard.names])
         index = WordIndex(shard.text, len(names), max_words)
-        for length, found in enumerate(shard.patterns(index, max_words), 2):
-            # A longer phrase than the longest is no candidate, so its neighbours do not matter.
-            sides = [
-                index.only_neighbour(found, left) if length < max_words else np.zeros(len(found), np.int64)
-                for left in (True, False)
-            ]
-            columns = [
-                pa.array([row["lang"]] * len(found), pa.string()),
-                pa.array(np.full(len(found), length, np.int32)),
-                pc.binary_join_element_wise(*(names.take(pa.array(found.words[:, i])) for i in range(length)), " "),
-                pa.array(found.count.astype(np.int64)),
-                *(names.take(pa.array(side)) for side in sides),
-            ]
-            yield pa.table(columns, names=["lang", "size", "phrase", "n", "left", "right"])
+        for length, grown in enumerate(shard.patterns(index, max_words), 2):
+            for at in range(0, len(grown), SLICE_PHRASES):
+                found = grown.only(slice(at, at + SLICE_PHRASES))
+                # A longer phrase than the longest is no candidate, so its neighbours do not matter.
+                sides = [
+                    index.only_neighbour(found, left) if length < max_words else np.zeros(len(found), np.int64)
+                    for left in (True, False)
+                ]
+                columns = [
+                    pa.array([row["lang"]] * len(found), pa.string()),
+                    pa.array(np.full(len(found), length, np.int32)),
+                    pc.binary_join_element_wise(*(names.take(pa.array(found.words[:, i])) for i in range(length)), " "),
+                    pa.array(found.count.astype(np.int64)),
+                    *(names.take(pa.array(side)) for side in sides),
+                ]
+                yield pa.table(columns, names=["lang", "size", "phrase", "n", "left", "right"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
-        for row in _rows(batches):
-            held += counted(row)
+        for table in (t for row in _rows(batches) for t in counted(row)):
+            held.append(table)
             if sum(t.num_rows for t in held) > HELD_PHRASES:
                 held = [_merged(held)]
                 if held[0].num_rows > HELD_PHRASES * 3 // 4:
-                    yield from held.pop().to_batches()
+                    yield from held.pop().to_batches(SLICE_PHRASES)
         if held:
-            yield from _merged(held).to_batches()
+            yield from _merged(held).to_batches(SLICE_PHRASES)
 
     return scan
 
