@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import digestible, row_digest
-from tillroll.operators import profile
+from tillroll.operators import dedup, profile
 from tillroll.operators.dedup import keep_first
 from tillroll.operators.histogram import histogram
 from tillroll.operators.joins import hot_keys, repeat_copies, right_skew_join, skew_join, split_copies
@@ -325,3 +325,54 @@ def test_right_side_split_equals_the_plain_left_join(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert rows == sorted(map(str, products.join(pairs, "k", "left").select("k", "v", "s").collect()))
     assert max(shares.values()) < 700
+
+
+def _shuffled_rows(df):
+    """Records that the exchanges of a plan that has run have written, by what stands below them."""
+    found, plan = [], df._jdf.queryExecution().executedPlan()
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if "QueryStage" in name:
+            todo.append(node.plan())
+            continue
+        if name == "Exchange":
+            found.append((node.child().output().size(), node.metrics().apply("shuffleRecordsWritten").value()))
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+@pytest.mark.parametrize("bits", [1 << 26, 1 << 15])
+def test_rows_that_come_once_stay_out_of_the_shuffle(spark, monkeypatch, bits):
+    monkeypatch.setattr(dedup, "TABLE_BITS", bits)
+    rows = [(f"k{i}", i % 9, float(i), None) for i in range(3000)] + [(f"k{i}", i % 4, -0.0 if i % 2 else 0.0, "x") for i in range(0, 60, 2)]
+    rows += [(None, 1, None, None)] * 2 + [(None, None, 0.0, "y"), ("z", 1, -0.0, "same"), ("z", 1, 0.0, "same"), ("lone", 1, -0.0, None)]
+    df = spark.createDataFrame(rows, "k string, o int, x double, y string").repartition(3)
+
+    def listed(d):
+        return sorted(map(repr, d.collect()))
+
+    for nulls_last in ((), ("o",)):
+        assert listed(dedup.keep_first_apart(df, "k", ["o"], nulls_last)) == listed(keep_first(df, "k", ["o"], nulls_last))
+    assert listed(dedup.distinct_apart(df)) == listed(df.distinct())
+    nested = df.withColumn("a", F.array("o"))
+    assert listed(dedup.distinct_apart(nested)) == listed(nested.distinct())
+    assert listed(dedup.distinct_apart(df.limit(0))) == []
+
+
+def test_the_batch_run_shuffles_few_whole_rows(spark, tmp_path):
+    from tillroll.plans import clean
+    from tillroll.schemas import RAW
+
+    rows = spark.range(5000).selectExpr("cast(id as string) order_id", "1 payment_sequential", "'a' payment_type", "1 payment_installments", "double(id) payment_value")
+    rows.union(rows.limit(5)).write.parquet(str(tmp_path / "p"))
+    tables = {t: spark.createDataFrame([], schema) for t, schema in RAW.items()} | {"payments": spark.read.parquet(str(tmp_path / "p"))}
+    paid = clean.clean_tables(clean.Landed(tables))["payments"]
+    assert len(paid.collect()) == 5000
+    whole = sum(n for columns, n in _shuffled_rows(paid) if columns >= 5)
+    assert 5 <= whole < 100
